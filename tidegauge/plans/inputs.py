@@ -34,8 +34,12 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The events table read as a stream."""
-    return with_shared(table_stream(spark, f"{folder}/events.parquet"))
+    """The events table read as a stream, whether it is one file or a folder of files.
+
+    The stream source takes a single file only by a pattern, hence the braces.
+    """
+    schema = table(spark, folder, "events").schema
+    return with_shared(table_stream(spark, f"{folder}/{{events}}.parquet", schema=schema))
 
 
 def _by(value: Column, choices: dict[int, Column | str], otherwise: Column | str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.functions.rows import compute_once
 from tidegauge.functions.text import as_column
 
 # The routing field, its named routes and the two catch-all routes.
@@ -14,13 +15,12 @@ OTHER_ROUTE = "other"
 ERROR_ROUTE = "json_error"
 
 
-def json_route(value: Column | str) -> Column:
-    """Exactly one route per record.
+def json_route(record: Column) -> Column:
+    """Exactly one route per parsed record.
 
     Extraction as a variant tells a missing field (NULL) from a JSON ``null`` (a value).
     Malformed text, values that are no object and objects without the field all give NULL.
     """
-    record = F.try_parse_json(as_column(value))
     path = f"$.{ROUTE_FIELD}"
     missing = F.try_variant_get(record, path, "variant").isNull()
     target = F.try_variant_get(record, path, "string")
@@ -31,7 +31,9 @@ def json_route(value: Column | str) -> Column:
 
 
 def with_route(records: DataFrame, value: str = "value") -> DataFrame:
-    return records.withColumn("route", json_route(value))
+    """Add ``route``; the JSON text is parsed once."""
+    parsed = compute_once(records, "_json", F.try_parse_json(as_column(value)))
+    return compute_once(parsed, "route", json_route(F.col("_json"))).drop("_json")
 
 
 def select_route(routed: DataFrame, name: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Log shapes derived from the given tables.
 
 Each function turns a whole table into the records one operator family reads. The oracle
-builds the same records in SQL (``oracles.py``).
+builds the same records in SQL (``oracles.py``). A derived line is computed once, so that an
+operator reads it like a stored column.
 """
 
 from __future__ import annotations
@@ -9,9 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.functions.rows import compute_once
 from tidegauge.functions.text import words
 from tidegauge.functions.timeconv import LOG_TIME
 from tidegauge.operators.running import BLOCK_ROWS, id_blocks, running_by_key
+from tidegauge.session import shared_dir
 from tidegauge.sources.logs import table_stream
 
 
@@ -83,7 +86,7 @@ def interact_log(e: DataFrame) -> DataFrame:
         "\t", F.date_format("at", LOG_TIME), address, uid, code, F.lit("419697"), mode,
         F.lit("1"), F.col("event_id"), user, extend,
     )
-    return e.select("event_id", "user_id", line.alias("value"))
+    return compute_once(e, "value", line).select("event_id", "user_id", "value")
 
 
 def word_lines(e: DataFrame) -> DataFrame:
@@ -93,7 +96,7 @@ def word_lines(e: DataFrame) -> DataFrame:
     fourth = F.when(k % 11 == 0, "").otherwise(F.col("event_type"))
     user = F.concat(F.lit("u"), F.col("user_id") % 7)
     line = F.concat_ws(",", "ms", "event_type", user, third, fourth)
-    return e.select("event_id", F.col("ms").alias("in_time"), line.alias("value"))
+    return compute_once(e, "value", line).select("event_id", F.col("ms").alias("in_time"), "value")
 
 
 def json_log(e: DataFrame) -> DataFrame:
@@ -115,9 +118,8 @@ def json_log(e: DataFrame) -> DataFrame:
         },
         '{"idc":null}',
     )
-    return e.select(
-        "event_id", F.col("ms").alias("in_time"), F.col("out_ms").alias("out_time"),
-        value.alias("value"),
+    return compute_once(e, "value", value).select(
+        "event_id", F.col("ms").alias("in_time"), F.col("out_ms").alias("out_time"), "value"
     )
 
 
@@ -126,7 +128,9 @@ def stamp_log(e: DataFrame) -> DataFrame:
     tm = F.when(F.col("user_id") % 2 == 0, 1).otherwise(4)
     ts = _by(F.col("k") % 3, {0: F.lit(1), 1: F.lit(4)}, F.lit(16))
     line = F.concat_ws(",", "ms", "out_ms", "event_type", F.lit("1"))
-    return e.select("event_id", tm.alias("tm_num"), ts.alias("ts_num"), line.alias("value"))
+    return compute_once(e, "value", line).select(
+        "event_id", tm.alias("tm_num"), ts.alias("ts_num"), "value"
+    )
 
 
 def measure_lines(e: DataFrame) -> DataFrame:
@@ -137,7 +141,7 @@ def measure_lines(e: DataFrame) -> DataFrame:
         {0: key, 1: F.concat(key, F.lit("\tn/a")), 2: F.concat(key, F.lit("\t12.5"))},
         F.concat(key, F.lit("\t"), F.floor(F.col("amount") * 10).cast("bigint")),
     )
-    return e.select("event_id", value.alias("value"))
+    return compute_once(e, "value", value).select("event_id", "value")
 
 
 def offset_log(e: DataFrame, block: int = BLOCK_ROWS) -> DataFrame:
@@ -153,6 +157,13 @@ def offset_log(e: DataFrame, block: int = BLOCK_ROWS) -> DataFrame:
     return numbered.select("part", "off", "ms", "value")
 
 
+def offset_table(spark: SparkSession, folder: str) -> DataFrame:
+    """``offset_log`` written to the shared folder, as a log that is read in several passes."""
+    path = shared_dir(spark, "log")
+    offset_log(events(spark, folder)).write.parquet(path)
+    return spark.read.schema("part BIGINT, off BIGINT, ms BIGINT, value STRING").parquet(path)
+
+
 def arrival_log(e: DataFrame) -> DataFrame:
     """``(event_id, part, arrival, ms)``: rows that reach their log partition late by ``k``."""
     return e.select(

@@ -371,7 +371,7 @@ def offset_bounds(spark, folder):
 
 @query
 def offset_range_scan(spark, folder):
-    return offsets.read_from(inputs.offset_log(inputs.events(spark, folder)), MAX_READS)
+    return offsets.read_from(inputs.offset_table(spark, folder), MAX_READS)
 
 
 @query

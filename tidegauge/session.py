@@ -10,10 +10,12 @@ from pyspark.sql import SparkSession
 ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # Runtime settings every operator relies on. Log times carry no zone, so both parsing and
-# formatting are pinned to UTC; streaming state lives in RocksDB so it can outgrow the heap.
+# formatting are pinned to UTC; streaming state lives in RocksDB so it can outgrow the heap,
+# and a batch saves its changes only.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_STATE,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -51,13 +51,19 @@ def keyed_rows(
 
 
 def put(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Write ``(business, key_id, timestamp, value)`` rows as one batch of the store."""
+    """Write ``(business, key_id, timestamp, value)`` rows as one batch of the store.
+
+    Rows of a day are brought together so that a batch leaves few files; adaptive execution
+    splits a day that is too big for one task.
+    """
     day = div(F.col("timestamp"), F.lit(DAY_SECONDS))
+    folders = ("business", "key_id", "day")
     (
         rows.select(*KEYS, "value", day.alias("day"))
-        .sortWithinPartitions("business", "key_id", "day", "timestamp")
+        .hint("rebalance", *folders)
+        .sortWithinPartitions(*folders, "timestamp")
         .write.mode("overwrite")
-        .partitionBy("business", "key_id", "day")
+        .partitionBy(*folders)
         .parquet(f"{path}/batch={batch_id}")
     )
 

@@ -35,20 +35,22 @@ class DueIndicators(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.counts = handle.getMapState("counts", "type STRING", "count BIGINT")
+        self.counts = handle.getValueState("counts", "counts MAP<STRING,BIGINT>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        kept = dict(self.counts.get()[0]) if self.counts.exists() else {}
         for batch in rows:
-            for kind, count in zip(batch["type"], batch["count"]):
-                self.counts.updateValue((kind,), (int(count),))
-                if kind == self.closing_type:
-                    end = int(key[0]) + self.size_ms - 1
-                    self.handle.registerTimer(end + self.delay_ms)
+            new = dict(zip(batch["type"], batch["count"].astype(int)))
+            kept.update(new)
+            if self.closing_type in new:
+                end = int(key[0]) + self.size_ms - 1
+                self.handle.registerTimer(end + self.delay_ms)
+        self.counts.update((kept,))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         start = int(key[0])
-        entries = sorted((k[0], v[0]) for k, v in self.counts.iterator())
+        entries = sorted(self.counts.get()[0].items())
         self.counts.clear()
         yield pd.DataFrame(
             {

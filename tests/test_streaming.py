@@ -10,6 +10,7 @@ from tidegauge.plans import inputs
 from tidegauge.sinks import store
 from tidegauge.sources import logs
 from tidegauge.streaming import jobs
+from tidegauge.streaming.running import running_totals
 from tidegauge.streaming.timers import due_indicators
 
 WINDOW_MS = 600_000
@@ -188,3 +189,39 @@ def test_merge_is_associative(spark):
     left = windows.merge_indicators(windows.merge_indicators("x", "y"), "z")
     right = windows.merge_indicators("x", windows.merge_indicators("y", "z"))
     assert tuple(df.select(left, right).first()) == ({"a": 5, "b": 3, "c": 4},) * 2
+
+
+def test_every_row_gets_its_running_total(spark, tmp_path):
+    folder = str(tmp_path)
+    for i, lines in enumerate((["5,a", "7,b", "4,a"], ["3,a", "9,a"])):
+        drop_file(f"{folder}/in", f"f{i}.txt", lines, i)
+    lines = logs.text_stream(spark, f"{folder}/in", 1)
+    words = lines.select(
+        F.split_part("value", F.lit(","), F.lit(1)).cast("bigint").alias("in_time"),
+        F.split_part("value", F.lit(","), F.lit(2)).alias("word"),
+    )
+    expected = [("a", 1, 5), ("a", 2, 5), ("a", 3, 5), ("a", 4, 9), ("b", 1, 7)]
+    jobs.append_files(running_totals(words), f"{folder}/out", f"{folder}/cp").awaitTermination()
+    assert as_rows(spark.read.parquet(f"{folder}/out"), "word", "count", "in_time") == expected
+
+    # Forgetting by wall clock needs a stream that keeps running.
+    totals = running_totals(words, 3_600_000)
+    query = jobs.append_files(totals, f"{folder}/ttl", f"{folder}/cp-ttl", interval="1 second")
+    try:
+        for _ in range(40):
+            query.awaitTermination(1)
+            if sum(p.numInputRows for p in query.recentProgress) >= 5:
+                break
+    finally:
+        query.stop()
+    assert as_rows(spark.read.parquet(f"{folder}/ttl"), "word", "count", "in_time") == expected
+
+
+def test_ingestion_time_and_console(spark, tmp_path):
+    drop_file(f"{tmp_path}/in", "f.txt", ["x", "y"], 0)
+    stamped = windows.with_ingestion_time(logs.text_stream(spark, f"{tmp_path}/in"))
+    counts = windows.with_watermark(stamped, 0).groupBy(windows.tumbling(10_000)).count()
+    jobs.print_rows(counts, f"{tmp_path}/cp", mode="update").awaitTermination()
+    table = windows.with_ingestion_time(logs.text_lines(spark, f"{tmp_path}/in"))
+    row = table.first()
+    assert row["ms"] > 1_600_000_000_000 and int(row["ts"].timestamp() * 1_000) // 10 == row["ms"] // 10

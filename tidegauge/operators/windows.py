@@ -21,6 +21,14 @@ def with_watermark(events: DataFrame, delay_ms: int = MAX_OUT_OF_ORDER_MS) -> Da
     return events.withWatermark("ts", f"{delay_ms} milliseconds")
 
 
+def with_ingestion_time(records: DataFrame) -> DataFrame:
+    """Event time = time of arrival: ``ms`` and ``ts`` of the running (micro-)batch.
+
+    Such times never run backwards, so a watermark on them needs no delay.
+    """
+    return records.withColumn("ts", F.current_timestamp()).withColumn("ms", F.unix_millis("ts"))
+
+
 def tumbling(size_ms: int, time: Column | str = "ts") -> Column:
     return F.window(time, f"{size_ms} milliseconds")
 

@@ -15,6 +15,7 @@ from tidegauge.plans.queries import DIGIT, SHORT_WINDOW_MS, WINDOW_MS, query
 from tidegauge.session import shared_dir
 from tidegauge.sinks import store
 from tidegauge.streaming import jobs
+from tidegauge.streaming.running import running_totals
 from tidegauge.streaming.timers import due_indicators
 
 
@@ -91,3 +92,12 @@ def stream_word_totals(spark, folder):
     changes = spark.read.schema(schema).parquet(f"{path}/out")
     newest = changes.groupBy("word").agg(F.max_by(F.struct("in_time", "count"), "batch").alias("_v"))
     return newest.select("word", "_v.*")
+
+
+@query
+def stream_word_running(spark, folder):
+    lines = inputs.event_stream(spark, folder).select(
+        F.col("ms").alias("in_time"), F.concat_ws(",", "event_type", "event_type").alias("value")
+    )
+    words = running.csv_words(lines, ["in_time"])
+    return _written(spark, running_totals(words).select("word", "count"), "running")

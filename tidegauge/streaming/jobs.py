@@ -112,6 +112,13 @@ def route_files(
     return append_files(with_route(records), base, checkpoint, interval, folders=("route",))
 
 
+def print_rows(
+    stream: DataFrame, checkpoint: str, interval: str | None = None, mode: str = "append"
+) -> StreamingQuery:
+    """Print results of a stream on the driver's console, for a look at small results."""
+    return start(stream.writeStream.format("console").outputMode(mode), checkpoint, interval)
+
+
 def latest_per_key(
     totals: DataFrame, path: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:

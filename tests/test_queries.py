@@ -64,6 +64,12 @@ def test_purchase_filter_reaches_the_scan(spark):
     assert "EqualTo(event_type,purchase)" in plan
 
 
+def test_offset_range_reaches_the_scan(spark):
+    plan = QUERIES["offset_range_scan"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"GreaterThanOrEqual\(off,\d+\)", plan)
+    assert re.search(r"LessThanOrEqual\(off,\d+\)", plan)
+
+
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["start_time", "end_time", "type", "count"] and df.count() > 0

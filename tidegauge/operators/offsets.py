@@ -5,7 +5,7 @@ Offsets are unique within a partition but may have gaps.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.text import as_column
@@ -31,13 +31,19 @@ def valid_start(start: Column | str, earliest: Column | str, latest: Column | st
     return F.when((start < earliest) | (start > latest), latest).otherwise(start)
 
 
+def bounded_rows(small: DataFrame, max_rows: int = MAX_BROADCAST_PARTS) -> list[Row] | None:
+    """The rows of a table if it has at most ``max_rows``, else nothing."""
+    rows = small.take(max_rows + 1)
+    return rows if len(rows) <= max_rows else None
+
+
 def bounded_side(small: DataFrame, max_rows: int = MAX_BROADCAST_PARTS) -> DataFrame:
     """The table as a broadcast side if it has at most ``max_rows`` rows, else unchanged.
 
     Unchanged it joins by exchange, where adaptive execution splits a dominating key.
     """
-    rows = small.take(max_rows + 1)
-    if len(rows) > max_rows:
+    rows = bounded_rows(small, max_rows)
+    if rows is None:
         return small
     return F.broadcast(small.sparkSession.createDataFrame(rows, small.schema))
 
@@ -87,8 +93,19 @@ def plan_reads(
 def read_from(
     log: DataFrame, max_reads: int, start: Column | None = None, block: int = BLOCK_ROWS
 ) -> DataFrame:
-    """The rows of ``plan_reads``; a filter on the log when the partitions are few enough."""
-    plan = bounded_side(plan_reads(log, max_reads, start, block))
+    """The rows of ``plan_reads``; a filter on the log when the partitions are few enough.
+
+    The lowest and highest offset of all ranges are constants then, so the scan skips what
+    lies outside of both.
+    """
+    plan = plan_reads(log, max_reads, start, block)
+    ranges = bounded_rows(plan)
+    if ranges is not None:
+        plan = F.broadcast(log.sparkSession.createDataFrame(ranges, plan.schema))
+    if ranges:
+        log = log.where(
+            F.col("off").between(min(r["first"] for r in ranges), max(r["last"] for r in ranges))
+        )
     return (
         log.join(plan, "part")
         .where(F.col("off").between(F.col("first"), F.col("last")))

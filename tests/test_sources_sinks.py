@@ -127,7 +127,7 @@ def test_store_keeps_the_newest_value(spark, tmp_path):
     got = store.get(spark, path, "experimental_results", "realtime_index_count", 1528686600)
     assert got.first()["value"] == result_json("2018-06-11 03:10:00", "new")
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "day" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert "period" in plan.split("PartitionFilters")[1].split("]")[0]
     assert store.get(spark, path, "experimental_results", "hbase", 1528084116).first()["value"] == "hello"
     assert store.get(spark, path, "experimental_results", "hbase", 1).count() == 0
 

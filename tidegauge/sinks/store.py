@@ -20,9 +20,9 @@ INDICATOR_KEY = "realtime_index_count"
 JSON_START = r'\{"start_time":"(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})'
 
 KEYS = ("business", "key_id", "timestamp")
-DAY_SECONDS = 86_400
+PERIOD_SECONDS = 30 * 86_400
 STORE_SCHEMA = (
-    "timestamp BIGINT, value STRING, batch BIGINT, business STRING, key_id STRING, day BIGINT"
+    "timestamp BIGINT, value STRING, batch BIGINT, business STRING, key_id STRING, period BIGINT"
 )
 
 
@@ -53,13 +53,13 @@ def keyed_rows(
 def put(rows: DataFrame, path: str, batch_id: int) -> None:
     """Write ``(business, key_id, timestamp, value)`` rows as one batch of the store.
 
-    Rows of a day are brought together so that a batch leaves few files; adaptive execution
-    splits a day that is too big for one task.
+    Rows of a period are brought together so that a batch leaves few files; adaptive execution
+    splits a period that is too big for one task.
     """
-    day = div(F.col("timestamp"), F.lit(DAY_SECONDS))
-    folders = ("business", "key_id", "day")
+    period = div(F.col("timestamp"), F.lit(PERIOD_SECONDS))
+    folders = ("business", "key_id", "period")
     (
-        rows.select(*KEYS, "value", day.alias("day"))
+        rows.select(*KEYS, "value", period.alias("period"))
         .hint("rebalance", *folders)
         .sortWithinPartitions(*folders, "timestamp")
         .write.mode("overwrite")
@@ -87,7 +87,7 @@ def put_one(
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """All batches; ``batch``, ``business``, ``key_id`` and ``day`` are folder columns."""
+    """All batches; ``batch``, ``business``, ``key_id`` and ``period`` are folder columns."""
     return spark.read.schema(STORE_SCHEMA).parquet(path)
 
 
@@ -97,11 +97,11 @@ def current(stored: DataFrame) -> DataFrame:
 
 
 def get(spark: SparkSession, path: str, business: str, key_id: str, timestamp: int) -> DataFrame:
-    """Current value of one key; only the folders of its day are read."""
+    """Current value of one key; only the folders of its period are read."""
     stored = read_store(spark, path).where(
         (F.col("business") == business)
         & (F.col("key_id") == key_id)
-        & (F.col("day") == timestamp // DAY_SECONDS)
+        & (F.col("period") == div(F.lit(timestamp), F.lit(PERIOD_SECONDS)))
         & (F.col("timestamp") == timestamp)
     )
     return current(stored)
@@ -111,9 +111,9 @@ def get_many(stored: DataFrame, wanted: DataFrame) -> DataFrame:
     """Current values of the keys in ``wanted``; its other columns stay.
 
     The keys are looked up before values are compared, so only hits are exchanged, and for a
-    small set of keys Spark reads only the folders of their days.
+    small set of keys Spark reads only the folders of their periods.
     """
-    day = div(F.col("timestamp"), F.lit(DAY_SECONDS))
-    keys = wanted.select(*KEYS, day.alias("day"))
-    hits = stored.join(keys, [*KEYS, "day"], "left_semi")
+    period = div(F.col("timestamp"), F.lit(PERIOD_SECONDS))
+    keys = wanted.select(*KEYS, period.alias("period"))
+    hits = stored.join(keys, [*KEYS, "period"], "left_semi")
     return wanted.join(current(hits), list(KEYS))

@@ -1,5 +1,6 @@
 import json
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,7 +121,7 @@ def test_store_keeps_the_newest_value(spark, tmp_path):
     store.put(store.keyed_rows(first), path, 0)
     store.put(store.keyed_rows(first), path, 0)
     store.put(store.keyed_rows(values(spark, [result_json("2018-06-11 03:10:00", "new")])), path, 1)
-    store.put_one(spark, path, 2, "experimental_results", "hbase", 1528084116, "hello")
+    store.put_one(spark, path, 2, "experimental_results", "notes", 1528084116, "hello")
     stored = store.current(store.read_store(spark, path))
     assert stored.count() == 3
 
@@ -128,8 +129,8 @@ def test_store_keeps_the_newest_value(spark, tmp_path):
     assert got.first()["value"] == result_json("2018-06-11 03:10:00", "new")
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "period" in plan.split("PartitionFilters")[1].split("]")[0]
-    assert store.get(spark, path, "experimental_results", "hbase", 1528084116).first()["value"] == "hello"
-    assert store.get(spark, path, "experimental_results", "hbase", 1).count() == 0
+    assert store.get(spark, path, "experimental_results", "notes", 1528084116).first()["value"] == "hello"
+    assert store.get(spark, path, "experimental_results", "notes", 1).count() == 0
 
     wanted = spark.createDataFrame(
         [("experimental_results", "realtime_index_count", t) for t in (1528686600, 1528761600, 5)],
@@ -151,6 +152,18 @@ def test_shared_dir_comes_from_the_session(spark):
     assert first.startswith(base + "/x-") and first != second
 
 
+def unset(master):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master=master)
+    )
+
+
+def test_only_a_local_master_may_use_its_own_folder():
+    assert os.path.isdir(os.path.dirname(shared_dir(unset("local[2]"), "x")))
+    with pytest.raises(ValueError):
+        shared_dir(unset("spark://host:7077"), "x")
+
+
 def test_prepare_sets_the_runtime_settings(spark):
     other = prepare(spark.newSession())
     assert other.conf.get("spark.sql.session.timeZone") == "UTC"

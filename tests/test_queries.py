@@ -7,9 +7,11 @@ import pytest
 import __spark_entry__ as contract
 from helpers import SF
 from oracle_check import connect, differences
+from tidegauge.plans.oracles import all_oracles
+from tidegauge.plans.queries import REGISTRY
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = dict(REGISTRY)
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")

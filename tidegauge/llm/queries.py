@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bpe_chunks, jaccard_groups, phrase_index, repair_files
+from tidegauge.llm import bpe_chunks, jaccard_groups, phrase_index, pii, quality, repair_files, secret_scan, sharding
 from tidegauge.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -14,15 +14,33 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 
 
+def op1_pii_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.summary(pii.find(table(spark, folder, "documents")))
+
+
+def op3_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sharding.sharded(table(spark, folder, "documents"))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "tokens")
+
+
 def op4_repair_token_files(spark: SparkSession, folder: str) -> DataFrame:
     read = repair_files.token_files(table(spark, folder, "documents"), BYTE_BPE, END_ID)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.judged(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op6_jaccard_groups(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_groups.near_duplicates(table(spark, folder, "documents"))
 
 
+def op8_secret_entropy(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.summary(secret_scan.find(table(spark, folder, "documents")))
+
+
 def op9_phrase_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = phrase_index.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     names = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
@@ -37,4 +55,10 @@ def op10_bpe_chunk_reuse(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op4_repair_token_files, op6_jaccard_groups, op9_phrase_decontamination, op10_bpe_chunk_reuse)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_pii_spans, op3_vector_packing, op4_repair_token_files, op5_robust_outliers, op6_jaccard_groups, op8_secret_entropy,
+        op9_phrase_decontamination, op10_bpe_chunk_reuse,
+    )
+}

@@ -7,12 +7,20 @@ number; beyond that it starts again. Results never depend on what is kept.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 from tokenizers import Tokenizer
 
 from tidegauge.llm.textscan import SPACED_WORDS, span_hashes
 
-MOST_PIECES = 1 << 20
+MOST_PIECES = 3 << 20
+# New pieces are handed to the library in texts of about this many bytes.
+JOINED_BYTES = 1 << 16
+
+
+WORD_CHARS = np.array([c < 128 and chr(c).isalnum() for c in range(256)])
+MARKS = np.array([chr(c) in ",.;:!?&%$#*()" for c in range(256)])
 
 
 def load(path: str) -> Tokenizer:
@@ -49,6 +57,9 @@ def spaced_pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     sure &= ~(wide & (second | third))
     cut = np.zeros(len(data), dtype=bool)
     cut[1:] = space[1:] & sure[:-1]
+    # Marks that end words are cut off behind ASCII letters and digits; the pattern never takes
+    # both together. The apostrophe may begin a contraction and the bar a special token; they are left alone.
+    cut[1:] |= MARKS[data[1:]] & WORD_CHARS[data[:-1]]
     cut[offsets[:-1][offsets[:-1] < len(data)]] = True
     return np.flatnonzero(cut)
 
@@ -56,8 +67,23 @@ def spaced_pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class PieceEncoder:
     def __init__(self, path: str):
         self.tokenizer = load(path)
+        self.token_bytes = self._token_bytes()
         self._forget()
 
+    def _token_bytes(self) -> np.ndarray | None:
+        """Bytes of text behind each id, for a tokenizer that keeps every byte; else None.
+
+        A byte-level vocabulary has one character for each byte.
+        """
+        kinds = [str(part).split("(")[0] for part in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)]
+        if kinds != ["None", "ByteLevel"]:
+            return None
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, i in vocabulary.items():
+            sizes[i] = len(token)
+        return sizes
+
     def _forget(self):
         self.keys = np.zeros(0, dtype=np.uint64)
         self.at = np.zeros(0, dtype=np.int64)
@@ -83,11 +109,7 @@ class PieceEncoder:
         return self.ids[ranges(self.starts[slot], lengths)], lengths
 
     def _learn(self, data, keys, starts, ends):
-        raw = data.tobytes()
-        texts = [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts.tolist(), ends.tolist())]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        flat = np.fromiter((i for ids in found for i in ids), dtype=np.int32, count=int(lengths.sum()))
+        flat, lengths = self._found(data, starts, ends)
         begin = len(self.ids) + np.cumsum(lengths) - lengths
         slots = np.arange(len(self.starts), len(self.starts) + len(keys))
         self.ids = np.concatenate([self.ids, flat])
@@ -98,6 +120,51 @@ class PieceEncoder:
         self.keys, self.at = joined[order], np.concatenate([self.at, slots])[order]
 
 
+    def _found(self, data, starts, ends):
+        """The ids of new pieces: side by side where both ends of a piece allow it, else apart."""
+        if self.token_bytes is None:
+            return self._apart(data, starts, ends)
+        last = data[ends - 1]
+        sure = (last > 0x20) & (last < 0x7F)
+        long = ends - starts > 3
+        second, third = data[ends - np.minimum(2, ends - starts)], data[ends - np.minimum(3, ends - starts)]
+        sure |= long & (last >= 0x80) & (second != 0xC2) & ((third < 0xE1) | (third > 0xE3))
+        safe = ~SPACED_WORDS[data[starts]] & sure
+        order = np.concatenate([np.flatnonzero(safe), np.flatnonzero(~safe)])
+        n = int(safe.sum())
+        pairs = [self._joined(data, starts[order[:n]], ends[order[:n]]), self._apart(data, starts[order[n:]], ends[order[n:]])]
+        flat, lengths = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
+        back = np.argsort(order)
+        begin = (np.cumsum(lengths) - lengths)[back]
+        return flat[ranges(begin, lengths[back])], lengths[back]
+
+    def _apart(self, data, starts, ends):
+        raw = data.tobytes()
+        texts = [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts.tolist(), ends.tolist())]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(lengths.sum())), lengths
+
+    def _joined(self, data, starts, ends):
+        """Pieces side by side, told apart again by the bytes that the ids stand for."""
+        if not len(starts):
+            return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
+        sizes = ends - starts
+        joined = data[ranges(starts, sizes)].tobytes()
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        cuts = [0]
+        while cuts[-1] < len(sizes):
+            cuts.append(max(cuts[-1] + 1, int(np.searchsorted(edges, edges[cuts[-1]] + JOINED_BYTES, side="right")) - 1))
+        texts = [joined[edges[i] : edges[j]].decode("utf-8", "replace") for i, j in zip(cuts[:-1], cuts[1:])]
+        parts = [np.array(e.ids, dtype=np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.concatenate(parts)
+        reached = np.concatenate([[0], np.cumsum(self.token_bytes[flat])])
+        stops = np.searchsorted(reached, edges)
+        if not np.array_equal(reached[np.minimum(stops, len(reached) - 1)], edges):
+            return self._apart(data, starts, ends)
+        return flat, np.diff(stops)
+
+
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 

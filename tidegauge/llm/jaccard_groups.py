@@ -342,7 +342,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     placed = posted.where("bucket IS NULL").select("doc_id", "n_shingles", "set_id", "gid")
     members = placed.where("doc_id = set_id AND n_shingles > 0")
     sizes = members.groupBy("gid").agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"))
-    lists = stored(shared_lists(posted), "lists").withColumn("list", F.xxhash64("groups"))
+    lists = shared_lists(posted).groupBy("groups").agg(F.sum("n").alias("n"))
+    lists = stored(lists.withColumn("list", F.xxhash64("groups", "n")), "lists")
 
     # First each group against the smallest one that shares a token; one document stands for each.
     star = lists.select(F.explode(F.slice("groups", 2, F.size("groups") - 1)).alias("b"), F.col("groups")[0].alias("a"), "n")

@@ -25,6 +25,7 @@ UNIT = 256
 SHARE = 0.75
 STEPS = 3
 PRIOR = 50
+SALTS = 32
 # Variance of the nearest three quarters of four normal variables is smaller by this factor.
 CONSISTENCY = 1.485
 # Least standard deviation of each statistic, in units of the transformed value.
@@ -139,7 +140,10 @@ def estimates(moments: DataFrame) -> DataFrame:
 def distances(rows: DataFrame, fitted: DataFrame) -> DataFrame:
     """Add ``distance``, the squared Mahalanobis distance from the group's estimate."""
     d = len(NAMES)
-    out = rows.join(fitted, "group", "left")
+    # A group may hold a third of all rows: they are spread over SALTS copies of its estimate.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", *NAMES), F.lit(SALTS)).cast("int"))
+    out = salted.join(fitted.select("*", salts), ["group", "salt"], "left")
     for i in range(d):
         value = F.col(NAMES[i]) / UNIT - F.col(f"m{i}")
         for k in range(i):

@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bpe_chunks, jaccard_groups, phrase_index
+from tidegauge.llm import bpe_chunks, jaccard_groups, phrase_index, pii, quality as quality_rules
 from tidegauge.llm.common import ready, stored, table
 from tidegauge.llm.queries import WORD_BPE
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that the quality rules reject go; a row without an id is judged by no rule and goes too."""
+    ready(spark)
+    kept = quality_rules.judged(docs).where("kept").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id."""
     ready(spark)
@@ -28,6 +35,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
     return docs.join(found.where("n_hit > 0").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
 
 
+def redact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Personal data in the texts is replaced by a sign for its kind."""
+    ready(spark)
+    return pii.redact(docs)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of the texts that are left."""
     ready(spark)
@@ -36,8 +49,10 @@ def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
     ("near_duplicates", near_duplicates),
     ("decontaminate", decontaminate),
+    ("redact", redact),
     ("tokens", tokens),
 ]
 

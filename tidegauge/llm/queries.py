@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bpe_chunks, jaccard_groups, phrase_index, pii, quality, repair_files, secret_scan, sharding
+from tidegauge.llm import bpe_chunks, jaccard_groups, phrase_index, pii, pseudo_lm, quality, repair_files, secret_scan, sharding, tool_links
 from tidegauge.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +18,11 @@ def op1_pii_spans(spark: SparkSession, folder: str) -> DataFrame:
     return pii.summary(pii.find(table(spark, folder, "documents")))
 
 
+def op2_tool_call_links(spark: SparkSession, folder: str) -> DataFrame:
+    messages = tool_links.derived_messages(table(spark, folder, "conversations"))
+    return tool_links.linked(messages, tool_links.TOOLS)
+
+
 def op3_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
     rows = sharding.sharded(table(spark, folder, "documents"))
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "tokens")
@@ -37,6 +42,10 @@ def op6_jaccard_groups(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_groups.near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudo_lm.pseudo_likelihood(table(spark, folder, "documents"))
+
+
 def op8_secret_entropy(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.summary(secret_scan.find(table(spark, folder, "documents")))
 
@@ -58,7 +67,7 @@ def op10_bpe_chunk_reuse(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_pii_spans, op3_vector_packing, op4_repair_token_files, op5_robust_outliers, op6_jaccard_groups, op8_secret_entropy,
-        op9_phrase_decontamination, op10_bpe_chunk_reuse,
+        op1_pii_spans, op2_tool_call_links, op3_vector_packing, op4_repair_token_files, op5_robust_outliers, op6_jaccard_groups, op7_pseudo_likelihood,
+        op8_secret_entropy, op9_phrase_decontamination, op10_bpe_chunk_reuse,
     )
 }

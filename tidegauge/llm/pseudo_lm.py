@@ -103,15 +103,35 @@ def contexts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return around
 
 
+def hidden_values(model, around: np.ndarray) -> np.ndarray:
+    total = model["context"][0][around[:, 0]] + model["hidden"]
+    for k in range(1, len(SIDES)):
+        total += model["context"][k][around[:, k]]
+    return np.tanh(total, out=total)
+
+
 def forward(model, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(hidden values, log-probabilities of all classes)`` for each context."""
-    total = model["hidden"] + sum(model["context"][k][around[:, k]] for k in range(len(SIDES)))
-    hidden = np.tanh(total)
+    hidden = hidden_values(model, around)
     logits = hidden @ model["out"] + model["bias"]
     logits -= logits.max(axis=1, keepdims=True)
     return hidden, logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
 
+def target_logp(model, around: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """The log-probability of one class for each context.
+
+    Hidden values lie between -1 and 1, so the weights bound the logits: one shift serves all
+    rows if the bound is far from overflow.
+    """
+    if np.abs(model["out"]).sum(axis=0).max() + np.abs(model["bias"]).max() > 40:
+        return forward(model, around)[1][np.arange(len(target)), target]
+    logits = hidden_values(model, around) @ model["out"]
+    logits += model["bias"]
+    own = logits[np.arange(len(target)), target]
+    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
+
+
 def train(model, batches) -> int:
     """Adam over ``(contexts, classes)`` batches, in place; returns the number of targets."""
     first = {k: np.zeros_like(v) for k, v in model.items()}
@@ -182,7 +202,7 @@ def scores(texts: pa.Array, classes: np.ndarray, model) -> tuple[np.ndarray, np.
     around = contexts(own, first)
     logp = np.zeros(len(own))
     for s in range(0, len(own), BATCH):
-        logp[s : s + BATCH] = forward(model, around[s : s + BATCH])[1][np.arange(len(own[s : s + BATCH])), own[s : s + BATCH]]
+        logp[s : s + BATCH] = target_logp(model, around[s : s + BATCH], own[s : s + BATCH])
     return np.diff(first), np.diff(np.concatenate([[0.0], np.cumsum(logp)])[first])
 
 

@@ -25,7 +25,7 @@ from tidegauge.llm.textscan import LOWER, SPACED_WORDS, batches_of, hash_words,
 
 WIDTH = 5
 PERCENT = 75
-COUNTERS = 1 << 18
+COUNTERS = 1 << 20
 COUNTER_BLOCK = 1 << 13
 GROUP_BYTES = 24 << 20
 OPEN_DOCS = 256
@@ -272,8 +272,12 @@ def open_groups(docs: DataFrame, members: DataFrame, pairs: DataFrame, width: in
     The members of ``a`` are sent to each block of partners of ``a``, and each partner's once.
     Blocks are cut by the number of documents in them.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("gid")).distinct()
-    wanted = stored(members.join(wanted, "gid").select("gid", "doc_id"), "wanted")
+    counts = members.groupBy("gid").agg(F.count("*").alias("docs"))
+    partners = pairs.join(counts.withColumnRenamed("gid", "b"), "b")
+    blocks = partners.groupBy("a").agg(F.ceil(F.sum("docs") / OPEN_DOCS).cast("bigint").alias("blocks"))
+    placed = stored(partners.join(blocks, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block")), "placed")
+    places = placed.select("a", "block", F.col("b").alias("gid")).unionByName(placed.select("a", "block", F.col("a").alias("gid")).distinct())
+    wanted = stored(places.join(members, "gid").select("a", "block", "gid", "doc_id"), "wanted")
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(ID_SLOTS))
     bitmap = np.packbits(slot_bitmap(wanted.select(slot.alias("slot")), ID_SLOTS))
     chosen = docs.withColumn("slot", slot)
@@ -285,16 +289,7 @@ def open_groups(docs: DataFrame, members: DataFrame, pairs: DataFrame, width: in
             yield kept.select(["doc_id", "text"])
 
     texts = chosen.where("doc_id IS NOT NULL").mapInArrow(keep, "doc_id BIGINT, text STRING")
-    texts = stored(texts.join(wanted, "doc_id").select("gid", "text"), "texts")
-    counts = wanted.groupBy("gid").agg(F.count("*").alias("docs"))
-    partners = pairs.join(counts.withColumnRenamed("gid", "b"), "b")
-    blocks = partners.groupBy("a").agg(F.ceil(F.sum("docs") / OPEN_DOCS).cast("bigint").alias("blocks"))
-    placed = stored(partners.join(blocks, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block")), "placed")
-    heads = placed.select("a", "block").distinct().withColumn("gid", F.col("a"))
-    rows = (
-        placed.withColumn("gid", F.col("b")).join(texts, "gid").select("a", "block", "gid", "text")
-        .unionByName(heads.join(texts, "gid").select("a", "block", "gid", "text"))
-    )
+    rows = texts.join(wanted, "doc_id").select("a", "block", "gid", "text")
 
     def compare(rows: pa.Table) -> pa.Table:
         head = rows.column("a")[0].as_py()

@@ -2,7 +2,7 @@
 
 Rows of equal text form a group. Groups are packed largest first into the shard where the dot
 product of the group's vector with the shard's remaining capacity is highest, among the shards
-that have room for it if there are any. What is packed are at most BUNDLES bundles of groups, told by the
+that have room for its bytes if there are any. What is packed are at most BUNDLES bundles of groups, told by the
 groups' hash, and pieces of the few groups that are large by themselves, so the packing handles a
 fixed number of items whatever the table's size, while all sums are formed by Spark.
 """
@@ -44,7 +44,7 @@ def pack(loads: np.ndarray, shards: int) -> np.ndarray:
     weighted = share * WEIGHTS
     placed = np.zeros(len(loads), dtype=np.int64)
     for i in np.argsort(-weighted.max(axis=1), kind="stable"):
-        fits = (free >= share[i] - 1e-12).all(axis=1)
+        fits = free[:, 0] >= share[i, 0] - 1e-12
         value = free @ weighted[i]
         placed[i] = int(np.argmax(np.where(fits, value, -np.inf) if fits.any() else value))
         free[placed[i]] -= share[i]

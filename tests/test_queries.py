@@ -31,15 +31,15 @@ def test_query_matches_its_oracle(spark, database, name):
     assert differences(df, database, ORACLES[name]) == ""
     plan = df._jdf.queryExecution().executedPlan().toString()
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "SinglePartition"):
-        if forbidden == "SinglePartition" and name in ONE_ROW or name in GLOBAL_ORDER:
+        if forbidden == "SinglePartition" and name in ONE_ROW | GLOBAL_ORDER:
             continue
         assert forbidden not in plan, forbidden
 
 
 # One result row in total, from partial aggregates.
-ONE_ROW = {"bad_record_counts", "delay_summary_tolerant"}
+ONE_ROW = {"bad_record_counts", "delay_summary_tolerant", "offset_range_scan"}
 # One order over all rows; only block totals meet in one partition.
-GLOBAL_ORDER = {"sequential_ids", "paced_replay"}
+GLOBAL_ORDER = {"sequential_ids"}
 
 
 @pytest.mark.parametrize(
@@ -68,8 +68,8 @@ def test_purchase_filter_reaches_the_scan(spark):
 
 def test_offset_range_reaches_the_scan(spark):
     plan = QUERIES["offset_range_scan"](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"GreaterThanOrEqual\(off,\d+\)", plan)
-    assert re.search(r"LessThanOrEqual\(off,\d+\)", plan)
+    assert re.search(r"GreaterThanOrEqual\(off,", plan)
+    assert re.search(r"LessThanOrEqual\(off,", plan)
 
 
 def test_entry(spark):

@@ -42,7 +42,7 @@ def test_hot_key_is_cut_into_blocks(spark):
     df = spark.range(5_000).select(F.lit("hot").alias("key"), F.col("id"))
     got = running.running_by_key(df, ["key"], ["id"], running.id_blocks("id", 100), {"n": ("sum", one())})
     plan = got._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Window") == 3 and "_id_near" in plan
+    assert plan.count("Window") == 1 + len(running.id_blocks("id", 100)) and "_id_100" in plan
     assert got.where("n <> id + 1").count() == 0
 
 
@@ -101,10 +101,19 @@ def test_start_outside_the_log_reads_nothing(spark, shift):
     assert as_rows(got, *log.columns) == expected_reads(rows, 30, lambda a, b: a + shift)
 
 
-def test_many_partitions_join_instead_of_broadcast(spark):
-    small = spark.range(10)
-    assert "broadcast" in offsets.bounded_side(small, 10)._jdf.queryExecution().analyzed().toString()
-    assert offsets.bounded_side(small, 9) is small
+def test_building_a_read_runs_no_job(spark):
+    _, log = gappy_log(spark)
+    tracker, group = spark.sparkContext.statusTracker(), "lazy-read"
+    spark.sparkContext.setJobGroup(group, group)
+    offsets.read_from(log, 30, block=10)
+    assert list(tracker.getJobIdsForGroup(group)) == []
+
+
+def test_ids_over_the_whole_range(spark):
+    ids = [k * (1 << 54) + k for k in range(200)] + [-(k + 1) * (1 << 55) for k in range(50)]
+    rows = spark.createDataFrame([(i,) for i in ids], "id BIGINT")
+    got = running.sequential_ids(rows, ["id"], running.id_blocks("id"), 0, name="no")
+    assert as_rows(got, "id", "no") == [(i, n) for n, i in enumerate(sorted(ids))]
 
 
 def test_offset_dump(spark):

@@ -47,22 +47,6 @@ def test_line_source_kinds(spark, tmp_path):
         logs.line_source(spark, "queue")
 
 
-def test_paced_records(spark):
-    got = logs.paced_records(spark, 1_000, start_ms=5_000)
-    assert got.count() == 1_000
-    assert as_rows(got.groupBy("ms").count(), "ms", "count") == [(5_000 + 10 * t, 10) for t in range(100)]
-    for rate in (0, 150, 50):
-        with pytest.raises(ValueError):
-            logs.paced_records(spark, rate)
-    assert logs.paced_stream(spark, 100).isStreaming
-
-
-def test_sentences(spark):
-    got = spark.range(5).select(logs.pick_sentence(F.col("id")).alias("s"))
-    assert sorted(r["s"] for r in got.collect()) == sorted(logs.SENTENCES)
-    assert logs.sentence_stream(spark).columns == ["timestamp", "value"]
-
-
 def test_keyed_text_is_sorted_within_files(spark, tmp_path):
     path = str(tmp_path / "out")
     result = spark.range(50).select(F.col("id").cast("string").alias("key"), (F.col("id") * 2).alias("n"))
@@ -138,12 +122,19 @@ def test_store_keeps_the_newest_value(spark, tmp_path):
     )
     assert store.get_many(store.read_store(spark, path), wanted).count() == 2
 
+    before = as_rows(stored, "business", "key_id", "timestamp", "value")
+    period = 1528686600 // store.PERIOD_SECONDS
+    store.compact(spark, path, "experimental_results", "realtime_index_count", period)
+    after = store.read_store(spark, path)
+    assert as_rows(store.current(after), "business", "key_id", "timestamp", "value") == before
+    assert after.where(f"key_id = 'realtime_index_count' AND period = {period}").select("batch").distinct().count() == 1
+
 
 def test_store_time_falls_back(spark):
     rows = values(spark, ["no time", result_json("2018-06-11 03:10:00")])
     got = rows.select(store.json_start_seconds("value", F.lit(7).cast("bigint")).alias("t"))
     assert as_rows(got, "t") == [(7,), (1528686600,)]
-    assert rows.select(store.json_start_seconds("value").alias("t")).where("t > 1600000000").count() == 1
+    assert store.keyed_rows(rows).where("timestamp IS NULL").count() == 1
 
 
 def test_shared_dir_comes_from_the_session(spark):
@@ -152,16 +143,10 @@ def test_shared_dir_comes_from_the_session(spark):
     assert first.startswith(base + "/x-") and first != second
 
 
-def unset(master):
-    return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master=master)
-    )
-
-
-def test_only_a_local_master_may_use_its_own_folder():
-    assert os.path.isdir(os.path.dirname(shared_dir(unset("local[2]"), "x")))
-    with pytest.raises(ValueError):
-        shared_dir(unset("spark://host:7077"), "x")
+def test_shared_dir_falls_back_to_the_warehouse():
+    settings = {"spark.sql.warehouse.dir": "file:/w"}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
+    assert shared_dir(session, "x").startswith("file:/w/x-")
 
 
 def test_prepare_sets_the_runtime_settings(spark):

@@ -160,20 +160,6 @@ def test_running_totals_in_update_mode(spark, tmp_path):
     assert changes == [(0, "a", 2), (0, "b", 1), (1, "a", 3), (1, "c", 1)]
 
 
-def test_sentence_stream_runs(spark, tmp_path):
-    words = logs.sentence_stream(spark, 50)
-    out = f"{tmp_path}/out"
-    query = jobs.append_files(words.select("value"), out, f"{tmp_path}/cp", interval="1 second", fmt="text")
-    try:
-        for _ in range(60):
-            query.awaitTermination(1)
-            if query.lastProgress and query.lastProgress.numInputRows:
-                break
-    finally:
-        query.stop()
-    assert {r["value"] for r in spark.read.text(out).distinct().collect()} <= set(logs.SENTENCES)
-
-
 def test_merge_of_indicator_maps(spark):
     rows = [({"fwd": 12}, {"cmt": 14, "lk": 15}), ({"b": 1, "a": 2}, {"b": 9}), ({}, {})]
     df = spark.createDataFrame(rows, "l MAP<STRING,BIGINT>, r MAP<STRING,BIGINT>")
@@ -225,3 +211,18 @@ def test_ingestion_time_and_console(spark, tmp_path):
     table = windows.with_ingestion_time(logs.text_lines(spark, f"{tmp_path}/in"))
     row = table.first()
     assert row["ms"] > 1_600_000_000_000 and int(row["ts"].timestamp() * 1_000) // 10 == row["ms"] // 10
+
+
+def test_windows_without_the_closing_type_are_forgotten(spark, tmp_path):
+    """State holds the open windows only, also those that never emit."""
+    from tidegauge.streaming.timers import due_indicators
+
+    for i in range(6):
+        drop_file(f"{tmp_path}/in", f"f{i}.txt", [str(i * 10_000), str(i * 10_000 + 1)], i)
+    lines = logs.text_stream(spark, f"{tmp_path}/in", 1)
+    stamped = lines.select(F.timestamp_millis(F.col("value").cast("bigint")).alias("ts"), F.lit("fwd").alias("type"))
+    counts = windows.with_watermark(stamped, 0).groupBy(F.window("ts", "10 seconds"), "type").agg(F.count("*").alias("count"))
+    counts = counts.withColumn("start_time", F.unix_millis("window.start"))
+    query = jobs.append_files(due_indicators(counts, 10_000, 0), f"{tmp_path}/out", f"{tmp_path}/cp")
+    query.awaitTermination()
+    assert query.lastProgress.stateOperators[0].numRowsTotal <= 2

@@ -42,7 +42,8 @@ def per_second_counts(stamped: DataFrame, *by: str, value: str = "value") -> Dat
 
 
 def sum_by_key(measured: DataFrame, value: str = "value") -> DataFrame:
-    """Sum of ``key<blank>number`` lines per key; lines without a number are left out."""
+    """Sum of ``key<blank>number`` lines per key; lines without a number are left out
+    (see ``set_aside``)."""
     parts = compute_once(measured.select(value), "_f", split_blanks(value))
     pairs = parts.select(
         field(F.col("_f"), 0).alias("key"), to_long(field(F.col("_f"), 1)).alias("_n")
@@ -50,6 +51,11 @@ def sum_by_key(measured: DataFrame, value: str = "value") -> DataFrame:
     return pairs.where("_n IS NOT NULL").groupBy("key").agg(F.sum("_n").alias("count"))
 
 
+def set_aside(measured: DataFrame, value: str = "value") -> DataFrame:
+    """The lines that ``sum_by_key`` and ``mean_by_config`` leave out: those without a number."""
+    return measured.where(to_long(field(split_blanks(value), 1)).isNull())
+
+
 def mean_delay_per_second(stamped: DataFrame, value: str = "value") -> DataFrame:
     """Whole-number mean of ``out - in`` per second of ``out`` over ``in,out,...`` lines.
 

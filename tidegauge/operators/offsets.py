@@ -5,16 +5,13 @@ Offsets are unique within a partition but may have gaps.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.text import as_column
 from tidegauge.functions.timeconv import div
 from tidegauge.operators.running import BLOCK_ROWS
 
-# Log partitions up to which their offset ranges are sent to every task.
-MAX_BROADCAST_PARTS = 200_000
-
 
 def offset_ranges(log: DataFrame) -> DataFrame:
     """Earliest offset, next offset after the newest, and their midpoint, per partition."""
@@ -31,23 +28,6 @@ def valid_start(start: Column | str, earliest: Column | str, latest: Column | st
     return F.when((start < earliest) | (start > latest), latest).otherwise(start)
 
 
-def bounded_rows(small: DataFrame, max_rows: int = MAX_BROADCAST_PARTS) -> list[Row] | None:
-    """The rows of a table if it has at most ``max_rows``, else nothing."""
-    rows = small.take(max_rows + 1)
-    return rows if len(rows) <= max_rows else None
-
-
-def bounded_side(small: DataFrame, max_rows: int = MAX_BROADCAST_PARTS) -> DataFrame:
-    """The table as a broadcast side if it has at most ``max_rows`` rows, else unchanged.
-
-    Unchanged it joins by exchange, where adaptive execution splits a dominating key.
-    """
-    rows = bounded_rows(small, max_rows)
-    if rows is None:
-        return small
-    return F.broadcast(small.sparkSession.createDataFrame(rows, small.schema))
-
-
 def plan_reads(
     log: DataFrame, max_reads: int, start: Column | None = None, block: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -58,9 +38,10 @@ def plan_reads(
     per block of offsets, so only the block in which the limit falls is ever sorted.
     """
     first = valid_start(F.col("middle") if start is None else start, "earliest", "latest")
-    starts = bounded_side(offset_ranges(log).select("part", first.alias("first")))
+    starts = offset_ranges(log).select("part", first.alias("first"))
     offsets = (
         log.select("part", "off")
+        .where(F.col("off") >= starts.agg(F.min("first")).scalar())
         .join(starts, "part")
         .where(F.col("off") >= F.col("first"))
         .withColumn("_block", div(F.col("off"), F.lit(block)))
@@ -81,7 +62,7 @@ def plan_reads(
     )
 
     by_offset = Window.partitionBy("part").orderBy("off")
-    tail = offsets.join(bounded_side(final_block), "part").where(F.col("_block") == F.col("_final"))
+    tail = offsets.join(final_block, "part").where(F.col("_block") == F.col("_final"))
     return (
         tail.withColumn("_n", F.row_number().over(by_offset))
         .where(F.col("_n") <= F.col("_left"))
@@ -93,21 +74,16 @@ def plan_reads(
 def read_from(
     log: DataFrame, max_reads: int, start: Column | None = None, block: int = BLOCK_ROWS
 ) -> DataFrame:
-    """The rows of ``plan_reads``; a filter on the log when the partitions are few enough.
+    """The rows of ``plan_reads``.
 
-    The lowest and highest offset of all ranges are constants then, so the scan skips what
-    lies outside of both.
+    The lowest and highest offset of all ranges are scalar subqueries, so the scan skips what
+    lies outside of both and nothing runs before the result is asked for.
     """
     plan = plan_reads(log, max_reads, start, block)
-    ranges = bounded_rows(plan)
-    if ranges is not None:
-        plan = F.broadcast(log.sparkSession.createDataFrame(ranges, plan.schema))
-    if ranges:
-        log = log.where(
-            F.col("off").between(min(r["first"] for r in ranges), max(r["last"] for r in ranges))
-        )
+    low, high = plan.agg(F.min("first")).scalar(), plan.agg(F.max("last")).scalar()
     return (
-        log.join(plan, "part")
+        log.where((F.col("off") >= low) & (F.col("off") <= high))
+        .join(plan, "part")
         .where(F.col("off").between(F.col("first"), F.col("last")))
         .select(*log.columns)
     )

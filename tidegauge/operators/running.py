@@ -22,12 +22,15 @@ BLOCK_ROWS = 1 << 20
 
 
 def id_blocks(column: str, rows: int = BLOCK_ROWS) -> list[dict[str, Column]]:
-    """Two block levels for an order that starts with a numeric id."""
-    value = F.col(column)
-    return [
-        {f"_{column}_far": div(value, F.lit(rows * 1024))},
-        {f"_{column}_near": div(value, F.lit(rows))},
-    ]
+    """Block levels for an order that starts with a numeric id, from coarse to fine.
+
+    Each is 1,024 times as wide as the next. The coarsest cuts the 64-bit ids into a few blocks,
+    so also with ids spread over that whole range no task gets more than their totals.
+    """
+    value, widths = F.col(column), [rows]
+    while widths[-1] < 1 << 50:
+        widths.append(widths[-1] << 10)
+    return [{f"_{column}_{width}": div(value, F.lit(width))} for width in reversed(widths)]
 
 
 def running_by_key(

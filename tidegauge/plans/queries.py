@@ -22,7 +22,6 @@ from tidegauge.operators import counts, offsets, partition, route, running, stam
 from tidegauge.plans import inputs
 from tidegauge.session import prepare, shared_dir
 from tidegauge.sinks import files, store
-from tidegauge.sources import logs
 
 WINDOW_MS = 600_000
 SHORT_WINDOW_MS = 10_000
@@ -30,7 +29,6 @@ DIGIT = 5
 PARTITIONS = 16
 MAX_READS = 1_000
 FIRST_ID = 1_000
-REPLAY_RATE = 10_000
 PURCHASE = "purchase"
 
 REGISTRY = {}
@@ -143,10 +141,10 @@ def word_window_bounds_600s(spark, folder):
 @query
 def late_data_audit(spark, folder):
     log = inputs.arrival_log(inputs.events(spark, folder))
-    # Rows of one arrival instant can be many, so the fine level also cuts by id.
+    # What one source sends in a second is bounded by its rate, so a second can be scanned whole.
     blocks = [
-        {"_hour": div(F.col("arrival"), F.lit(3_600_000))},
-        {"_instant": F.col("arrival"), "_ids": div(F.col("event_id"), F.lit(running.BLOCK_ROWS))},
+        {"_day": div(F.col("arrival"), F.lit(86_400_000))},
+        {"_second": div(F.col("arrival"), F.lit(1_000))},
     ]
     return windows.late_rows(log, "part", ["arrival", "event_id"], blocks, WINDOW_MS)
 
@@ -168,10 +166,10 @@ def record_line_count(spark, folder):
 @query
 def storm_word_running(spark, folder):
     words = inputs.spoken_words(spark, folder)
-    # A conversation may be long, so the fine level also cuts by turn.
+    # Words of 64 conversations fit one task; a conversation is at most some thousand turns.
     blocks = [
-        {"_far": div(F.col("conv_id"), F.lit(4_096))},
-        {"_conv": F.col("conv_id"), "_turns": div(F.col("turn"), F.lit(1_024))},
+        {"_far": div(F.col("conv_id"), F.lit(65_536))},
+        {"_near": div(F.col("conv_id"), F.lit(64))},
     ]
     return running.running_count(words, ["conv_id", "turn", "pos"], blocks)
 
@@ -183,14 +181,6 @@ def running_reduce(spark, folder):
     return running.running_reduce(words, ["event_id", "pos"], running.id_blocks("event_id"))
 
 
-@query
-def sentence_word_count(spark, folder):
-    picked = inputs.table(spark, folder, "events").select(
-        logs.pick_sentence(F.col("event_id")).alias("text")
-    )
-    return counts.word_count(picked)
-
-
 @query
 def reverse_word_order(spark, folder):
     return inputs.table(spark, folder, "documents").select(
@@ -297,6 +287,12 @@ def throughput_rollup(spark, folder):
     return counts.sum_by_key(_config_seconds(spark, folder))
 
 
+@query
+def set_aside_measures(spark, folder):
+    lines = inputs.measure_lines(inputs.events(spark, folder))
+    return counts.set_aside(lines).groupBy("value").agg(F.count(F.lit(1)).alias("count"))
+
+
 @query
 def throughput_grid(spark, folder):
     return counts.mean_by_config(_config_seconds(spark, folder))
@@ -395,13 +391,6 @@ def sequential_ids(spark, folder):
     return running.sequential_ids(rows, ["event_id"], running.id_blocks("event_id"), FIRST_ID)
 
 
-@query
-def paced_replay(spark, folder):
-    rows = inputs.table(spark, folder, "events").select("event_id")
-    numbered = running.sequential_ids(rows, ["event_id"], running.id_blocks("event_id"), name="no")
-    return logs.pace(numbered, REPLAY_RATE)
-
-
 @query
 def block_floor_window(spark, folder):
     seconds = ms_to_seconds("ms")

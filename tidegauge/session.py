@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -15,6 +14,8 @@ ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStor
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_STATE,
+    # Of a key that a JSON object repeats, the last value counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
@@ -43,12 +44,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for checkpoints and result tables that every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may fall back to a
-    temporary folder: on a cluster such a folder exists on one machine alone.
+    The cluster names it in ``spark.checkpoint.dir``; without that it lies in the session's
+    warehouse, which a cluster shares as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder on the shared file system")
-        base = tempfile.mkdtemp(prefix="tidegauge-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,11 +1,14 @@
 """Keyed result store: values under ``(business, key_id, timestamp)``, timestamp in seconds.
 
-Every write adds its own folder ``batch=<id>``; the newest batch of a key is its value. So a
-write never reads or rewrites older data, and repeating a batch gives the same store.
+Folders are ``business/key_id/period/batch``, the batch innermost: a lookup lists the folders of
+its own period only, however many batches were written. The newest batch of a key is its value.
+A write never reads or rewrites older data, repeating a batch gives the same store, and
+``compact`` leaves one batch of a period.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,13 +29,14 @@ STORE_SCHEMA = (
 )
 
 
-def json_start_seconds(value: Column | str, fallback: Column | None = None) -> Column:
+def json_start_seconds(value: Column | str, fallback: Column) -> Column:
     """Epoch seconds of ``start_time`` in a result JSON.
 
-    Without one the fallback counts, by default the wall clock of the query.
+    Without one the fallback counts: the arrival time of the record, or null. It must not be the
+    clock, or a repeated batch would write other keys.
     """
     found = ms_to_seconds(parse_ms(F.regexp_extract(as_column(value), JSON_START, 1)))
-    return F.coalesce(found, F.unix_timestamp() if fallback is None else fallback)
+    return F.coalesce(found, fallback)
 
 
 def keyed_rows(
@@ -40,12 +44,14 @@ def keyed_rows(
     business: str = INDICATOR_BUSINESS,
     key_id: str = INDICATOR_KEY,
     value: str = "value",
+    fallback: Column | None = None,
 ) -> DataFrame:
-    """Result JSON texts as store rows."""
+    """Result JSON texts as store rows; ``fallback`` gives the seconds of texts without a time."""
+    fallback = F.lit(None).cast("bigint") if fallback is None else fallback
     return results.select(
         F.lit(business).alias("business"),
         F.lit(key_id).alias("key_id"),
-        json_start_seconds(value).alias("timestamp"),
+        json_start_seconds(value, fallback).alias("timestamp"),
         as_column(value).alias("value"),
     )
 
@@ -57,17 +63,39 @@ def put(rows: DataFrame, path: str, batch_id: int) -> None:
     splits a period that is too big for one task.
     """
     period = div(F.col("timestamp"), F.lit(PERIOD_SECONDS))
-    folders = ("business", "key_id", "period")
+    folders = ("business", "key_id", "period", "batch")
     (
-        rows.select(*KEYS, "value", period.alias("period"))
+        rows.select(*KEYS, "value", period.alias("period"), F.lit(batch_id).cast("bigint").alias("batch"))
         .hint("rebalance", *folders)
         .sortWithinPartitions(*folders, "timestamp")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*folders)
-        .parquet(f"{path}/batch={batch_id}")
+        .parquet(path)
     )
 
 
+def compact(spark: SparkSession, path: str, business: str, key_id: str, period: int) -> None:
+    """Leave the newest value of each key of a period, as its newest batch.
+
+    That batch is replaced at once with all current values; the older ones, which say nothing new
+    then, are emptied after it. Readers see the same values throughout.
+    """
+    rows = read_store(spark, path).where(
+        (F.col("business") == business) & (F.col("key_id") == key_id) & (F.col("period") == period)
+    )
+    batches = [r["batch"] for r in rows.select("batch").distinct().collect()]
+    if len(batches) > 1:
+        kept = f"{path.rstrip('/')}-compact-{uuid.uuid4().hex}"
+        current(rows).write.parquet(kept)
+        put(spark.read.parquet(kept), path, max(batches))
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/business={business}/key_id={key_id}/period={period}")
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        for batch in sorted(set(batches) - {max(batches)}):
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, f"batch={batch}"), True)
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(kept), True)
+
+
 def store_writer(path: str, rows: Callable[[DataFrame], DataFrame] = keyed_rows):
     """Micro-batch writer into the store."""
     return lambda batch, batch_id: put(rows(batch), path, batch_id)

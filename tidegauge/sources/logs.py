@@ -1,28 +1,14 @@
-"""Where records come from: message logs, text folders, generators."""
+"""Where records come from: message logs and text folders."""
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.functions.timeconv import div
-
-# Sentences of the sample sentence source.
-SENTENCES = (
-    "the cow jumped over the moon",
-    "an apple a day keeps the doctor away",
-    "four score and seven years ago",
-    "snow white and the seven dwarfs",
-    "i am at two with nature",
-)
-# Name of a measurement file and the pace of the record generator.
+# Fixed value: name of a measurement file.
 MEASURE_FILE = r"throughput_(\d+)_(\d+)\.csv"
-TICKS_PER_SECOND = 100
-TICK_MS = 10
-
-LOG_SCHEMA = "part INT, off BIGINT, ms BIGINT, value STRING"
 
 
 def kafka_options(
@@ -32,6 +18,8 @@ def kafka_options(
     start: str | dict[str, dict[str, int]] = "group",
     end: dict[str, dict[str, int]] | None = None,
     fail_on_loss: bool = True,
+    max_offsets: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
     """Options of Spark's Kafka source.
 
@@ -39,6 +27,7 @@ def kafka_options(
     ``group`` means where this query stopped: Spark keeps that in the query's checkpoint, so
     only a first run needs a position and starts at the latest offset. With
     ``fail_on_loss=False`` a start outside the kept range is moved instead of failing.
+    ``max_offsets`` bounds a micro-batch, ``min_partitions`` cuts it into tasks.
     """
     if (topic is None) == (pattern is None):
         raise ValueError("give either a topic or a topic pattern")
@@ -52,6 +41,10 @@ def kafka_options(
         raise ValueError(f"unknown start position {start!r}")
     if end is not None:
         options["endingOffsets"] = json.dumps(end)
+    if max_offsets is not None:
+        options["maxOffsetsPerTrigger"] = str(max_offsets)
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
     options["failOnDataLoss"] = str(fail_on_loss).lower()
     return options
 
@@ -64,6 +57,8 @@ def kafka_stream(spark: SparkSession, **options) -> DataFrame:
 def kafka_table(spark: SparkSession, **options) -> DataFrame:
     """An offset range of a topic as a table; needs Spark's Kafka package."""
     options.setdefault("start", "earliest")
+    if options["start"] in ("latest", "group") or options.get("max_offsets"):
+        raise ValueError("a table needs the earliest offset or given ones, and has no micro-batches")
     return _kafka_columns(spark.read.format("kafka").options(**kafka_options(**options)).load())
 
 
@@ -119,42 +114,3 @@ def measure_files(spark: SparkSession, path: str) -> DataFrame:
         "value",
     )
 
-
-def pick_sentence(number: Column) -> Column:
-    """Sample sentence for a row number; in turn instead of at random, so a retry agrees."""
-    choices = F.array(*[F.lit(s) for s in SENTENCES])
-    return F.get(choices, F.pmod(number, F.lit(len(SENTENCES))).cast("int"))
-
-
-def sentence_stream(spark: SparkSession, rows_per_second: int = 1) -> DataFrame:
-    """Endless stream of sample sentences ``(timestamp, value)``."""
-    ticks = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
-    return ticks.select("timestamp", pick_sentence(F.col("value")).alias("value"))
-
-
-def paced_stream(spark: SparkSession, rate: int) -> DataFrame:
-    """Endless stream of numbered records at ``rate`` rows per second."""
-    check_rate(rate)
-    return spark.readStream.format("rate").option("rowsPerSecond", rate).load()
-
-
-def check_rate(rate: int) -> int:
-    """Rows per tick; the rate must fill every tick with at least one row."""
-    if rate < TICKS_PER_SECOND or rate % TICKS_PER_SECOND:
-        raise ValueError(f"rate must be a multiple of {TICKS_PER_SECOND}")
-    return rate // TICKS_PER_SECOND
-
-
-def pace(numbered: DataFrame, rate: int, number: str = "no", start_ms: int = 0) -> DataFrame:
-    """Give numbered rows the time at which a generator of this rate emits them.
-
-    Rows 0, 1, 2, ... leave in ticks of 10 ms with ``rate / 100`` rows each.
-    """
-    per_tick = check_rate(rate)
-    tick = div(F.col(number), F.lit(per_tick))
-    return numbered.select("*", tick.alias("tick"), (F.lit(start_ms) + tick * TICK_MS).alias("ms"))
-
-
-def paced_records(spark: SparkSession, rate: int, start_ms: int = 0) -> DataFrame:
-    """One second of generated records ``(no, tick, ms)``."""
-    return pace(spark.range(rate).withColumnRenamed("id", "no"), rate, "no", start_ms)

@@ -26,7 +26,8 @@ OUTPUT = "start_time BIGINT, end_time BIGINT, indexs MAP<STRING,BIGINT>"
 
 
 class DueIndicators(StatefulProcessor):
-    """Keeps ``type -> count`` of one window; emits it once its timer runs out."""
+    """Keeps ``type -> count`` of one window until its timer runs out, then emits it if the
+    closing type came."""
 
     def __init__(self, size_ms: int, delay_ms: int, closing_type: str):
         self.size_ms = size_ms
@@ -40,11 +41,8 @@ class DueIndicators(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         kept = dict(self.counts.get()[0]) if self.counts.exists() else {}
         for batch in rows:
-            new = dict(zip(batch["type"], batch["count"].astype(int)))
-            kept.update(new)
-            if self.closing_type in new:
-                end = int(key[0]) + self.size_ms - 1
-                self.handle.registerTimer(end + self.delay_ms)
+            kept.update(zip(batch["type"], batch["count"].astype(int)))
+        self.handle.registerTimer(int(key[0]) + self.size_ms - 1 + self.delay_ms)
         self.counts.update((kept,))
         return iter(())
 
@@ -52,6 +50,8 @@ class DueIndicators(StatefulProcessor):
         start = int(key[0])
         entries = sorted(self.counts.get()[0].items())
         self.counts.clear()
+        if self.closing_type not in dict(entries):
+            return
         yield pd.DataFrame(
             {
                 "start_time": [start],

@@ -86,11 +86,11 @@ def _packed(counts: np.ndarray) -> bytes:
 
 
 def common_slots(docs: DataFrame, width: int) -> np.ndarray:
-    """Which of COUNTERS hash slots hold tokens that are common over all documents.
+    """How common the tokens of each of COUNTERS hash slots are over all documents, as ranks.
 
     Every token of every document is counted. The table has a fixed size, and so have what tasks
-    hand on, what the driver adds up and the bitmap that goes back. It only orders tokens, rare
-    ones first; any order gives the same links.
+    hand on, what the driver adds up and the table of two bytes a slot that goes back. It only
+    orders tokens, rare ones first; any order gives the same links.
     """
 
     def count(batches):
@@ -114,15 +114,16 @@ def common_slots(docs: DataFrame, width: int) -> np.ndarray:
     total = np.zeros((COUNTERS // COUNTER_BLOCK, COUNTER_BLOCK), dtype=np.int64)
     for row in summed:
         total[row["block"]] = longs(row["counts"])
+    # In eighths of the spread that chance gives the counters.
     mean = total.mean()
-    return (total.reshape(-1) > mean + 8 * math.sqrt(mean) + 8).nonzero()[0]
+    steps = 8 * (total.reshape(-1) - mean) / max(1.0, math.sqrt(mean))
+    return np.clip(steps + 128, 0, (1 << 16) - 1).astype(np.uint16)
 
 
 def _prefix(tokens: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
     """The tokens of a set that a linked set must share one of, rare ones first."""
-    frequent = common[slots(tokens)]
-    ordered = np.concatenate([tokens[~frequent], tokens[frequent]])
-    return ordered[: len(tokens) - most_missed(len(tokens), percent) + 1]
+    order = np.argsort(common[slots(tokens)], kind="stable")
+    return tokens[order[: len(tokens) - most_missed(len(tokens), percent) + 1]]
 
 
 def _runs(tokens: np.ndarray, owners: np.ndarray) -> Iterator[np.ndarray]:
@@ -184,8 +185,6 @@ def grouped(docs: DataFrame, common: np.ndarray, width: int, percent: int, n_buc
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()), ("gid", pa.int64()), ("bucket", pa.int32()), ("tokens", pa.binary()), ("gids", pa.binary())])
 
     def post(batches):
-        is_common = np.zeros(COUNTERS, dtype=bool)
-        is_common[common] = True
         for rows in _texts(batches):
             ids = np.array(_column(rows, "doc_id").to_pylist(), dtype=object)
             sets = shingle_sets(_column(rows, "text"), width)
@@ -200,7 +199,7 @@ def grouped(docs: DataFrame, common: np.ndarray, width: int, percent: int, n_buc
                     seen[key] = len(kept)
                     kept.append(i)
                 owner[i] = seen[key]
-            prefixes = [_prefix(sets[i], is_common, percent) for i in kept]
+            prefixes = [_prefix(sets[i], common, percent) for i in kept]
             groups = _local_groups([sets[i] for i in kept], prefixes, percent)
             set_id = [int(ids[i]) for i in kept]
             gid = [set_id[g] for g in groups]

@@ -6,7 +6,8 @@ that a link cannot avoid (the rarest quarter of a set; any set at 75 % must shar
 Two groups that share enough of them are opened. Within an opened pair a document is first held
 against the other group's whole token union, and against its members only if that bound leaves
 a link possible. Groups that are joined already are not opened again, so copies cost one check
-each and not one for each pair.
+each and not one for each pair. Before groups are paired, each one's overlap with all groups of about
+one size together is bounded, and those that cannot reach a link are left out.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import binary, buckets, longs, slot_bitmap, stored, texts_of
@@ -30,6 +31,10 @@ COUNTER_BLOCK = 1 << 13
 GROUP_BYTES = 24 << 20
 OPEN_DOCS = 256
 ID_SLOTS = 1 << 22
+CLASS_RATIO = 1.05
+LIST_PART = 512
+HELD_PAIRS = 1 << 21
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shingle_sets(texts: pa.Array, width: int = WIDTH) -> list[np.ndarray]:
@@ -254,17 +259,87 @@ def shared_lists(posted: DataFrame) -> DataFrame:
     return blocks.groupBy("bucket").applyInArrow(meet, "groups ARRAY<BIGINT>, n BIGINT")
 
 
+def least_shared(low: Column, high: Column, percent: int) -> Column:
+    """``needed`` as a column."""
+    return F.greatest(F.lit(1), F.ceil(percent * (low + high) / (100 + percent)) - F.ceil(percent * high / 100) + 1)
+
+
 def qualifying(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Pairs ``(a, b, n)`` of groups whose ``n`` shared tokens leave a link possible."""
     pairs = pairs.groupBy("a", "b").agg(F.sum("n").alias("n"))
     a = sizes.select(F.col("gid").alias("a"), F.col("low").alias("a_low"), F.col("high").alias("a_high"))
     b = sizes.select(F.col("gid").alias("b"), F.col("low").alias("b_low"), F.col("high").alias("b_high"))
-    low, high = F.least("a_low", "b_low"), F.greatest("a_high", "b_high")
-    least = F.ceil(percent * (low + high) / (100 + percent)) - F.ceil(percent * high / 100) + 1
+    least = least_shared(F.least("a_low", "b_low"), F.greatest("a_high", "b_high"), percent)
     sizes_fit = (100 * F.col("a_high") >= percent * F.col("b_low")) & (100 * F.col("b_high") >= percent * F.col("a_low"))
     return pairs.join(a, "a").join(b, "b").where((F.col("n") >= least) & sizes_fit).select("a", "b")
 
 
+def reaching_groups(met: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The groups ``gid`` of ``met (list, n, gid, label)`` that may link with a group of another label.
+
+    A row of the matrix is a group, a column all groups of about one size. A cell counts the tokens
+    that the group shares with any of them, so no single partner shares more. Cells are as many as
+    list entries times the few size classes that a link spans; pairs of groups are not formed.
+    """
+    sized = met.join(sizes, "gid").withColumn("class", F.floor(F.log("low") / math.log(CLASS_RATIO)))
+    classes = sized.groupBy("list", "n", "class").agg(
+        F.min("label").alias("x"), F.max("label").alias("y"), F.min("low").alias("c_low"), F.max("high").alias("c_high")
+    )
+    other = (F.col("x") != F.col("label")) | (F.col("y") != F.col("label"))
+    sizes_fit = (100 * F.col("c_high") >= percent * F.col("low")) & (100 * F.col("high") >= percent * F.col("c_low"))
+    cells = (
+        sized.drop("class").join(classes, ["list", "n"]).where(other & sizes_fit).groupBy("gid", "class")
+        .agg(F.sum("n").alias("n"), F.least(F.min("low"), F.min("c_low")).alias("low"), F.greatest(F.max("high"), F.max("c_high")).alias("high"))
+    )
+    return cells.where(F.col("n") >= least_shared(F.col("low"), F.col("high"), percent)).select("gid").distinct()
+
+
+def _summed(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    a, b, n = (np.concatenate(column) for column in zip(*held))
+    order = np.lexsort((b, a))
+    a, b, n = a[order], b[order], n[order]
+    starts = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    return a[starts], b[starts], np.add.reduceat(n, starts)
+
+
+def pairs_across(lists: DataFrame) -> DataFrame:
+    """``(a, b, n)``: the groups of each list ``(n, gids, labels)`` with different labels, ``a`` before ``b``.
+
+    Lists that begin with the same group mostly hold the same others, so they are brought together
+    and their pairs are added up before they leave the task; a pair may still come more than once.
+    Long lists are dealt to several tasks by ``a``, and a task holds HELD_PAIRS pairs at most.
+    """
+    parts = lists.select(
+        "n", "gids", "labels", F.col("gids")[0].alias("first"), F.expr(f"shiftleft(1, cast(ceil(log2(greatest(1, size(gids) / {LIST_PART}))) as int))").alias("parts")
+    )
+    dealt = parts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).repartition("first", "parts", "part")
+
+    def add(batches):
+        held, size = [], 0
+        for batch in batches:
+            gids, labels = batch.column("gids"), batch.column("labels")
+            ends = gids.offsets.to_numpy()
+            rows = zip(ends[:-1], ends[1:], batch.column("n").to_pylist(), batch.column("parts").to_pylist(), batch.column("part").to_pylist())
+            gid_values, label_values = gids.values.to_numpy(), labels.values.to_numpy()
+            for start, end, n, parts, part in rows:
+                g, label = gid_values[start:end], label_values[start:end]
+                mine = np.flatnonzero((g.astype(np.uint64) * SPREAD >> np.uint64(40)) % np.uint64(parts) == part)
+                for i in mine.tolist():
+                    b = g[i + 1 :][label[i + 1 :] != label[i]]
+                    held.append((np.full(len(b), g[i]), b, np.full(len(b), n)))
+                    size += len(b)
+                    if size >= HELD_PAIRS:
+                        held = [_summed(held)]
+                        size = len(held[0][0])
+                    if size >= HELD_PAIRS // 2 and len(held) == 1:
+                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in held[0]], names=["a", "b", "n"])
+                        held, size = [], 0
+        if size:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _summed(held)], names=["a", "b", "n"])
+
+    return dealt.select("n", "gids", "labels", "parts", "part").mapInArrow(add, "a BIGINT, b BIGINT, n BIGINT")
+
+
 def open_groups(docs: DataFrame, members: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The linked pairs ``(a, b)`` among group pairs; ``members`` (gid, doc_id) are opened.
 
@@ -352,11 +427,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         .select("list", "n", "gid", F.coalesce("label", "gid").alias("label"))
     )
     apart = labelled.groupBy("list", "n").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("list", "n")
-    met = labelled.join(apart, ["list", "n"], "left_semi").groupBy("list", "n").agg(F.sort_array(F.collect_list(F.struct("gid", "label"))).alias("met"))
-    crossing = F.expr(
-        "flatten(transform(met, x -> transform(filter(met, y -> y.gid > x.gid AND y.label <> x.label), y -> struct(x.gid AS a, y.gid AS b))))"
-    )
-    rest = met.select("n", F.explode(crossing).alias("pair")).select("n", "pair.a", "pair.b")
+    met = stored(labelled.join(apart, ["list", "n"], "left_semi"), "met")
+    rows = met.join(reaching_groups(met, sizes, percent), "gid", "left_semi").groupBy("list", "n")
+    rows = rows.agg(F.sort_array(F.collect_list(F.struct("gid", "label"))).alias("met"), F.min("label").alias("x"), F.max("label").alias("y"))
+    rest = pairs_across(rows.where("x < y").select("n", F.col("met.gid").alias("gids"), F.col("met.label").alias("labels")))
     second = stored(qualifying(rest, sizes, percent), "second")
     label_a = near.select(F.col("node").alias("a"), F.col("label").alias("x"))
     label_b = near.select(F.col("node").alias("b"), F.col("label").alias("y"))

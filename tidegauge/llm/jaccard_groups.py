@@ -274,14 +274,14 @@ def qualifying(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where((F.col("n") >= least) & sizes_fit).select("a", "b")
 
 
-def reaching_groups(met: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """The groups ``gid`` of ``met (list, n, gid, label)`` that may link with a group of another label.
+def reaching_groups(met: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``met (list, n, gid, label, low, high)`` whose group may link with one of another label.
 
     A row of the matrix is a group, a column all groups of about one size. A cell counts the tokens
     that the group shares with any of them, so no single partner shares more. Cells are as many as
     list entries times the few size classes that a link spans; pairs of groups are not formed.
     """
-    sized = met.join(sizes, "gid").withColumn("class", F.floor(F.log("low") / math.log(CLASS_RATIO)))
+    sized = met.withColumn("class", F.floor(F.log("low") / math.log(CLASS_RATIO)))
     classes = sized.groupBy("list", "n", "class").agg(
         F.min("label").alias("x"), F.max("label").alias("y"), F.min("low").alias("c_low"), F.max("high").alias("c_high")
     )
@@ -291,53 +291,59 @@ def reaching_groups(met: DataFrame, sizes: DataFrame, percent: int) -> DataFrame
         sized.drop("class").join(classes, ["list", "n"]).where(other & sizes_fit).groupBy("gid", "class")
         .agg(F.sum("n").alias("n"), F.least(F.min("low"), F.min("c_low")).alias("low"), F.greatest(F.max("high"), F.max("c_high")).alias("high"))
     )
-    return cells.where(F.col("n") >= least_shared(F.col("low"), F.col("high"), percent)).select("gid").distinct()
+    reaching = cells.where(F.col("n") >= least_shared(F.col("low"), F.col("high"), percent)).select("gid").distinct()
+    return met.join(reaching, "gid", "left_semi")
 
 
-def _summed(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    a, b, n = (np.concatenate(column) for column in zip(*held))
+def _summed(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    a, b, n, least = (np.concatenate(column) for column in zip(*held))
     order = np.lexsort((b, a))
-    a, b, n = a[order], b[order], n[order]
+    a, b, n, least = a[order], b[order], n[order], least[order]
     starts = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-    return a[starts], b[starts], np.add.reduceat(n, starts)
+    return a[starts], b[starts], np.add.reduceat(n, starts), least[starts]
 
 
-def pairs_across(lists: DataFrame) -> DataFrame:
-    """``(a, b, n)``: the groups of each list ``(n, gids, labels)`` with different labels, ``a`` before ``b``.
+def pairs_across(met: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of groups that share a list, have different labels and share enough tokens.
 
     Lists that begin with the same group mostly hold the same others, so they are brought together
-    and their pairs are added up before they leave the task; a pair may still come more than once.
-    Long lists are dealt to several tasks by ``a``, and a task holds HELD_PAIRS pairs at most.
+    and their pairs are added up before they leave the task; what several tasks have of a pair is
+    added up after that. Long lists are dealt to several tasks by ``a``, and a task holds
+    HELD_PAIRS pairs at most.
     """
-    parts = lists.select(
-        "n", "gids", "labels", F.col("gids")[0].alias("first"), F.expr(f"shiftleft(1, cast(ceil(log2(greatest(1, size(gids) / {LIST_PART}))) as int))").alias("parts")
-    )
-    dealt = parts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).repartition("first", "parts", "part")
+    lists = met.groupBy("list", "n").agg(F.sort_array(F.collect_list(F.struct("gid", "label", "low", "high"))).alias("met"), F.min("label").alias("x"), F.max("label").alias("y"))
+    lists = lists.where("x < y").select("n", *(F.col(f"met.{c}").alias(c) for c in ("gid", "label", "low", "high")))
+    lists = lists.withColumn("first", F.col("gid")[0]).withColumn("parts", F.expr(f"shiftleft(1, cast(ceil(log2(greatest(1, size(gid) / {LIST_PART}))) as int))"))
+    dealt = lists.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).repartition("first", "parts", "part")
 
     def add(batches):
         held, size = [], 0
         for batch in batches:
-            gids, labels = batch.column("gids"), batch.column("labels")
-            ends = gids.offsets.to_numpy()
-            rows = zip(ends[:-1], ends[1:], batch.column("n").to_pylist(), batch.column("parts").to_pylist(), batch.column("part").to_pylist())
-            gid_values, label_values = gids.values.to_numpy(), labels.values.to_numpy()
+            gids, labels, lows, highs = (batch.column(c).flatten().to_numpy() for c in ("gid", "label", "low", "high"))
+            lengths = np.diff(batch.column("gid").offsets.to_numpy())
+            ends = np.cumsum(lengths)
+            rows = zip(ends - lengths, ends, *(batch.column(c).to_pylist() for c in ("n", "parts", "part")))
             for start, end, n, parts, part in rows:
-                g, label = gid_values[start:end], label_values[start:end]
-                mine = np.flatnonzero((g.astype(np.uint64) * SPREAD >> np.uint64(40)) % np.uint64(parts) == part)
-                for i in mine.tolist():
-                    b = g[i + 1 :][label[i + 1 :] != label[i]]
-                    held.append((np.full(len(b), g[i]), b, np.full(len(b), n)))
-                    size += len(b)
+                mine = (gids[start:end].astype(np.uint64) * SPREAD >> np.uint64(40)) % np.uint64(parts) == part
+                for i in (start + np.flatnonzero(mine)).tolist():
+                    low, high = np.minimum(lows[i + 1 : end], lows[i]), np.maximum(highs[i + 1 : end], highs[i])
+                    fits = (100 * highs[i + 1 : end] >= percent * lows[i]) & (100 * highs[i] >= percent * lows[i + 1 : end])
+                    chosen = np.flatnonzero(fits & (labels[i + 1 : end] != labels[i]))
+                    low, high = low[chosen], high[chosen]
+                    least = np.maximum(1, -(-percent * (low + high) // (100 + percent)) + -percent * high // 100 + 1)
+                    held.append((np.full(len(chosen), gids[i]), gids[i + 1 + chosen], np.full(len(chosen), n), least))
+                    size += len(chosen)
                     if size >= HELD_PAIRS:
                         held = [_summed(held)]
                         size = len(held[0][0])
-                    if size >= HELD_PAIRS // 2 and len(held) == 1:
-                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in held[0]], names=["a", "b", "n"])
-                        held, size = [], 0
+                        if size >= HELD_PAIRS // 2:
+                            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in held[0]], names=["a", "b", "n", "least"])
+                            held, size = [], 0
         if size:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _summed(held)], names=["a", "b", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _summed(held)], names=["a", "b", "n", "least"])
 
-    return dealt.select("n", "gids", "labels", "parts", "part").mapInArrow(add, "a BIGINT, b BIGINT, n BIGINT")
+    pairs = dealt.select("n", "gid", "label", "low", "high", "parts", "part").mapInArrow(add, "a BIGINT, b BIGINT, n BIGINT, least BIGINT")
+    return pairs.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("least").alias("least")).where("n >= least").select("a", "b")
 
 
 def open_groups(docs: DataFrame, members: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -427,11 +433,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         .select("list", "n", "gid", F.coalesce("label", "gid").alias("label"))
     )
     apart = labelled.groupBy("list", "n").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("list", "n")
-    met = stored(labelled.join(apart, ["list", "n"], "left_semi"), "met")
-    rows = met.join(reaching_groups(met, sizes, percent), "gid", "left_semi").groupBy("list", "n")
-    rows = rows.agg(F.sort_array(F.collect_list(F.struct("gid", "label"))).alias("met"), F.min("label").alias("x"), F.max("label").alias("y"))
-    rest = pairs_across(rows.where("x < y").select("n", F.col("met.gid").alias("gids"), F.col("met.label").alias("labels")))
-    second = stored(qualifying(rest, sizes, percent), "second")
+    met = stored(labelled.join(apart, ["list", "n"], "left_semi").join(sizes, "gid"), "met")
+    # What the first bound leaves out no longer counts for the others in the second.
+    met = reaching_groups(stored(reaching_groups(met, percent), "reaching"), percent)
+    second = stored(pairs_across(met, percent), "second")
     label_a = near.select(F.col("node").alias("a"), F.col("label").alias("x"))
     label_b = near.select(F.col("node").alias("b"), F.col("label").alias("y"))
     more = open_groups(docs, members.select("gid", "doc_id").distinct(), second, width, percent)

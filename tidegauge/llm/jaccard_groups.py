@@ -178,6 +178,20 @@ def _local_groups(sets: list[np.ndarray], prefixes: list[np.ndarray], percent: i
     return [top(i) for i in range(len(sets))]
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Ascending 64-bit numbers as the first one and steps of the narrowest width that holds them."""
+    values = values.view(np.uint64)
+    steps = np.diff(values)
+    most = int(steps.max()) if len(steps) else 0
+    width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
+    return bytes([width]) + values[:1].tobytes() + steps.astype(f"u{width}").tobytes()
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    steps = np.frombuffer(blob, dtype=f"u{blob[0]}", offset=9).astype(np.uint64)
+    return np.cumsum(np.concatenate([np.frombuffer(blob, dtype=np.uint64, offset=1, count=1), steps]), dtype=np.uint64).view(np.int64)
+
+
 POSTED = "doc_id BIGINT, n_shingles BIGINT, set_id BIGINT, gid BIGINT, bucket INT, tokens BINARY, gids BINARY"
 
 
@@ -185,7 +199,8 @@ def grouped(docs: DataFrame, common: np.ndarray, width: int, percent: int, n_buc
     """One row for each document, with its set and group, and the matrix in blocks of hash buckets.
 
     ``set_id`` is the smallest document with the same set in its block of rows, ``gid`` the
-    smallest of its group there.
+    smallest of its group there. A bucket takes the high half of a token's hash, so its blocks hold
+    the low half only. Tokens that are equal there by chance raise a pair's count and never lower it.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()), ("gid", pa.int64()), ("bucket", pa.int32()), ("tokens", pa.binary()), ("gids", pa.binary())])
 
@@ -234,8 +249,8 @@ def grouped(docs: DataFrame, common: np.ndarray, width: int, percent: int, n_buc
             yield pa.RecordBatch.from_arrays(
                 [
                     *(pa.nulls(k, pa.int64()) for _ in range(4)), pa.array(bucket[starts], pa.int32()),
-                    binary([tokens[s:e].tobytes() for s, e in zip(starts, ends)]),
-                    binary([owners[s:e].tobytes() for s, e in zip(starts, ends)]),
+                    binary([tokens[s:e].astype(np.uint32).tobytes() for s, e in zip(starts, ends)]),
+                    binary([packed(owners[s:e]) for s, e in zip(starts, ends)]),
                 ],
                 schema=schema,
             )
@@ -247,8 +262,8 @@ def shared_lists(posted: DataFrame) -> DataFrame:
     """``(groups, n)``: the lists of groups that share a token, and how many tokens share that list."""
 
     def meet(rows: pa.Table) -> pa.Table:
-        tokens = np.concatenate([np.frombuffer(b, dtype=np.uint64) for b in rows.column("tokens").to_pylist()])
-        gids = np.concatenate([longs(b) for b in rows.column("gids").to_pylist()])
+        tokens = np.concatenate([np.frombuffer(b, dtype=np.uint32) for b in rows.column("tokens").to_pylist()])
+        gids = np.concatenate([unpacked(b) for b in rows.column("gids").to_pylist()])
         lists: dict[bytes, int] = {}
         for run in _runs(tokens, gids):
             key = run.tobytes()

@@ -12,6 +12,7 @@ one size together is bounded, and those that cannot reach a link are left out.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -192,17 +193,17 @@ def unpacked(blob: bytes) -> np.ndarray:
     return np.cumsum(np.concatenate([np.frombuffer(blob, dtype=np.uint64, offset=1, count=1), steps]), dtype=np.uint64).view(np.int64)
 
 
-POSTED = "doc_id BIGINT, n_shingles BIGINT, set_id BIGINT, gid BIGINT, bucket INT, tokens BINARY, gids BINARY"
+POSTED = "doc_id BIGINT, n_shingles BIGINT, set_id BIGINT, gid BIGINT, print BINARY, bucket INT, tokens BINARY, gids BINARY"
 
 
 def grouped(docs: DataFrame, common: np.ndarray, width: int, percent: int, n_buckets: int) -> DataFrame:
     """One row for each document, with its set and group, and the matrix in blocks of hash buckets.
 
     ``set_id`` is the smallest document with the same set in its block of rows, ``gid`` the
-    smallest of its group there. A bucket takes the high half of a token's hash, so its blocks hold
+    smallest of its group there; ``print`` tells the sets of all blocks apart. A bucket takes the high half of a token's hash, so its blocks hold
     the low half only. Tokens that are equal there by chance raise a pair's count and never lower it.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()), ("gid", pa.int64()), ("bucket", pa.int32()), ("tokens", pa.binary()), ("gids", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()), ("gid", pa.int64()), ("print", pa.binary()), ("bucket", pa.int32()), ("tokens", pa.binary()), ("gids", pa.binary())])
 
     def post(batches):
         for rows in _texts(batches):
@@ -224,12 +225,15 @@ def grouped(docs: DataFrame, common: np.ndarray, width: int, percent: int, n_buc
             set_id = [int(ids[i]) for i in kept]
             gid = [set_id[g] for g in groups]
             n = len(ids)
+            prints = [None] * n
+            for i in kept:
+                prints[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids.tolist(), pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_id[o] if o >= 0 else ids[i] for i, o in enumerate(owner)], pa.int64()),
                     pa.array([gid[o] if o >= 0 else ids[i] for i, o in enumerate(owner)], pa.int64()),
-                    pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
+                    binary(prints), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
                 ],
                 schema=schema,
             )
@@ -248,7 +252,7 @@ def grouped(docs: DataFrame, common: np.ndarray, width: int, percent: int, n_buc
             k = len(starts)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(pa.nulls(k, pa.int64()) for _ in range(4)), pa.array(bucket[starts], pa.int32()),
+                    *(pa.nulls(k, pa.int64()) for _ in range(4)), pa.nulls(k, pa.binary()), pa.array(bucket[starts], pa.int32()),
                     binary([tokens[s:e].astype(np.uint32).tobytes() for s, e in zip(starts, ends)]),
                     binary([packed(owners[s:e]) for s, e in zip(starts, ends)]),
                 ],
@@ -279,6 +283,20 @@ def least_shared(low: Column, high: Column, percent: int) -> Column:
     return F.greatest(F.lit(1), F.ceil(percent * (low + high) / (100 + percent)) - F.ceil(percent * high / 100) + 1)
 
 
+def equal_sets(members: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` from the smallest group that holds a set to each other group that holds it."""
+    first = members.groupBy("print").agg(F.min("gid").alias("a"), F.max("gid").alias("last")).where("a < last").drop("last")
+    return members.join(first, "print").where("a < gid").select("a", F.col("gid").alias("b")).distinct()
+
+
+def between_twins(pairs: DataFrame, copies: DataFrame) -> DataFrame:
+    """The pairs with each group replaced by the smallest one it has a set in common with."""
+    twins = copies.groupBy("b").agg(F.min("a").alias("twin"))
+    for side in ("a", "b"):
+        pairs = pairs.join(twins.withColumnRenamed("b", side), side, "left").withColumn(side, F.coalesce("twin", side)).drop("twin")
+    return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def qualifying(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Pairs ``(a, b, n)`` of groups whose ``n`` shared tokens leave a link possible."""
     pairs = pairs.groupBy("a", "b").agg(F.sum("n").alias("n"))
@@ -429,7 +447,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     spark = docs.sparkSession
     common = common_slots(docs, width)
     posted = stored(grouped(docs, common, width, percent, buckets(spark)), "posted")
-    placed = posted.where("bucket IS NULL").select("doc_id", "n_shingles", "set_id", "gid")
+    placed = posted.where("bucket IS NULL").select("doc_id", "n_shingles", "set_id", "gid", "print")
     members = placed.where("doc_id = set_id AND n_shingles > 0")
     sizes = members.groupBy("gid").agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"))
     lists = shared_lists(posted).groupBy("groups").agg(F.sum("n").alias("n"))
@@ -437,9 +455,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 
     # First each group against the smallest one that shares a token; one document stands for each.
     star = lists.select(F.explode(F.slice("groups", 2, F.size("groups") - 1)).alias("b"), F.col("groups")[0].alias("a"), "n")
-    first = stored(qualifying(star, sizes, percent), "first")
+    # Groups that hold an equal set are linked by it, and only one of them is opened here.
+    copies = stored(equal_sets(members), "copies")
+    first = stored(between_twins(qualifying(star, sizes, percent), copies), "first")
     heads = members.where("doc_id = gid").select("gid", "doc_id").distinct()
-    links = open_groups(docs, heads, first, width, percent)
+    links = open_groups(docs, heads, first, width, percent).unionByName(copies)
     near = components(links)
 
     # Then whole groups, where a shared token meets groups that are not joined yet.
@@ -458,7 +478,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     over = more.join(label_a, "a", "left").join(label_b, "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
     far = components(over)
 
-    group = placed.join(near.withColumnRenamed("node", "gid").withColumnRenamed("label", "near"), "gid", "left")
+    group = placed.drop("print").join(near.withColumnRenamed("node", "gid").withColumnRenamed("label", "near"), "gid", "left")
     group = group.withColumn("near", F.coalesce("near", "gid"))
     group = group.join(far.withColumnRenamed("node", "near").withColumnRenamed("label", "far"), "near", "left")
     return group.select("doc_id", "n_shingles", F.coalesce("far", "near").alias("component_id"))

@@ -113,6 +113,20 @@ def test_near_duplicates_against_all_pairs(docs):
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == {i: (len(s), best[i]) for i, s in sets.items()}
 
 
+@pytest.mark.parametrize("numbers", [[5], [1, 1, 2, 300], [0, 70_000], [7, 7 + (1 << 40)], [-(1 << 63), -5, 0, (1 << 63) - 1]])
+def test_packed_numbers(numbers):
+    packed = jaccard_groups.packed(np.array(numbers, dtype=np.int64))
+    assert jaccard_groups.unpacked(packed).tolist() == numbers
+
+
+def test_equal_sets_are_opened_once(spark):
+    members = spark.createDataFrame([(1, b"x"), (4, b"x"), (9, b"x"), (4, b"y"), (6, b"y"), (7, b"z")], "gid BIGINT, print BINARY")
+    copies = jaccard_groups.equal_sets(members)
+    assert sorted(map(tuple, copies.collect())) == [(1, 4), (1, 9), (4, 6)]
+    pairs = spark.createDataFrame([(1, 4), (1, 7), (7, 9), (4, 7), (2, 3)], "a BIGINT, b BIGINT")
+    assert sorted(map(tuple, jaccard_groups.between_twins(pairs, copies).collect())) == [(1, 7), (2, 3)]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
     got = {r["node"]: r["label"] for r in graph.components(spark.createDataFrame(edges, "a BIGINT, b BIGINT")).collect()}

@@ -332,6 +332,30 @@ def test_scores_are_sums_over_contexts():
         assert np.allclose(pseudo_lm.target_logp(model, around, target), want, atol=1e-4)
 
 
+def test_every_word_is_a_target_once():
+    first = np.array([0, 1, 9, 9, 46])
+    own = np.zeros(first[-1], dtype=np.int64)
+    chosen = np.concatenate([pseudo_lm.targets_of(own, first, turn) for turn in range(pseudo_lm.ROUNDS)])
+    assert sorted(chosen.tolist()) == list(range(len(own)))
+
+
+@pytest.mark.parametrize("known", [1 << 16, 4, 0])
+def test_scores_hold_each_words_share(docs, monkeypatch, known):
+    """Words of one class score by their own counts, whether these are sent or joined."""
+    monkeypatch.setattr(pseudo_lm, "KNOWN", known)
+    monkeypatch.setattr(pseudo_lm, "ROUNDS", 0)
+    texts = ["a b b c c c c", "a A zz\u00e9", "c", "b b b b q", None] * 2 + ["once"]
+    # All words in one group: the class says nothing, the share all.
+    monkeypatch.setattr(pseudo_lm, "start", lambda counts: {n: np.zeros(s, dtype=np.float32) for n, s in pseudo_lm.SHAPES.items()})
+    words = Counter(w for t in texts for w in (t or "").lower().split())
+    monkeypatch.setattr(pseudo_lm, "word_classes", lambda counts: (np.full(pseudo_lm.SLOTS, 200, dtype=np.int16), np.full(pseudo_lm.CLASSES, sum(words.values()))))
+    table = docs(texts)
+    for row in pseudo_lm.pseudo_likelihood(table).collect():
+        own = (of_docs(table)[row["doc_id"]]).lower().split()
+        want = sum(math.log(words[w] / sum(words.values())) - math.log(pseudo_lm.CLASSES) for w in own)
+        assert row["n_tokens"] == len(own) and abs(row["score"] - want) < 1e-4
+
+
 def rng_contexts():
     rng = np.random.default_rng(0)
     return rng.integers(0, pseudo_lm.CLASSES + 1, (20, len(pseudo_lm.SIDES))), rng.integers(0, pseudo_lm.CLASSES, 20)

@@ -2,19 +2,24 @@
 
 A small network in numpy predicts the class of each word from two words on either side, the word
 itself being masked. Classes are the most frequent words and, for the rest, hash groups. A
-document's score is the sum of the log-probabilities of its words. Word counts and training
-cover all documents: each task trains a copy of the network on its own rows, one word in STRIDE
-of every text being a target in a round, and the copies are averaged by the targets they saw.
+word's probability is that of its class times the word's share in its class, and a document's
+score is the sum of the log-probabilities of its words. Word counts and training cover all
+documents: each task trains a copy of the network on its own rows, every word of a text being a
+target in one of the rounds, and the copies are averaged by the targets they saw.
+
+The counts of all words are a table that grows with the input. Its most frequent words, KNOWN at
+most, are sent to the tasks; the others are joined by word and added up by row.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import binary, texts_of
+from tidegauge.llm.common import binary, stored, texts_of
 from tidegauge.llm.textscan import LOWER, SPACED_WORDS, batches_of, hash_words
 
 SLOTS = 1 << 16
@@ -23,8 +28,9 @@ GROUPS = 64
 CLASSES = FREQUENT + GROUPS
 HIDDEN = 32
 SIDES = (-2, -1, 1, 2)
-STRIDE = 16
 ROUNDS = 2
+KNOWN = 1 << 16
+HELD_WORDS = 1 << 20
 BATCH = 4096
 RATE = 0.01
 SHAPES = {"context": (len(SIDES), CLASSES + 1, HIDDEN), "hidden": (HIDDEN,), "out": (HIDDEN, CLASSES), "bias": (CLASSES,)}
@@ -51,20 +57,56 @@ def _blocks(numbers: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), binary([p.tobytes() for p in parts])], names=["block", "numbers"])
 
 
-def word_classes(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """``(class of each hash slot, words of each class)`` by word counts over all documents."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``(word, n)``: the hash of each word and how often it occurs in all documents."""
+
+    def added(held):
+        words, which = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
+        return words, np.bincount(which, weights=np.concatenate([n for _, n in held]), minlength=len(words)).astype(np.int64)
 
     def count(batches):
-        total = np.zeros(SLOTS)
+        held, size = [], 0
         for batch in batches:
             for low, high in batches_of(batch.column(0)):
-                total += np.bincount(_slots(hash_words(batch.column(0).slice(low, high - low), SPACED_WORDS, LOWER)[0]), minlength=SLOTS)
-        yield _blocks(total)
-
-    counts = _summed(docs.select("text").mapInArrow(count, "block INT, numbers BINARY"), SLOTS)
+                held.append(np.unique(hash_words(batch.column(0).slice(low, high - low), SPACED_WORDS, LOWER)[0], return_counts=True))
+                size += len(held[-1][0])
+                if size >= HELD_WORDS:
+                    held = [added(held)]
+                    size = len(held[0][0])
+                    if size >= HELD_WORDS // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(held[0][0].view(np.int64)), pa.array(held[0][1])], names=["word", "n"])
+                        held, size = [], 0
+        if size:
+            words, n = added(held)
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], names=["word", "n"])
+
+    return docs.select("text").mapInArrow(count, "word BIGINT, n BIGINT").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def word_classes(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """``(class of each hash slot, words of each class)`` from the counts of all words."""
+    rows = counts.groupBy(F.col("word").bitwiseAND(F.lit(SLOTS - 1)).alias("slot")).agg(F.sum("n").alias("n")).toArrow()
+    slots = np.zeros(SLOTS)
+    slots[rows.column("slot").to_numpy()] = rows.column("n").to_numpy()
     classes = FREQUENT + np.arange(SLOTS) % GROUPS
-    classes[np.argsort(-counts, kind="stable")[:FREQUENT]] = np.arange(FREQUENT)
-    return classes.astype(np.int16), np.bincount(classes, weights=counts, minlength=CLASSES)
+    classes[np.argsort(-slots, kind="stable")[:FREQUENT]] = np.arange(FREQUENT)
+    return classes.astype(np.int16), np.bincount(classes, weights=slots, minlength=CLASSES)
+
+
+def known_words(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """``(sorted hashes, log-counts, least count)`` of the most frequent words, KNOWN at most: all
+    words that occur as often as the least count or more, which is a power of two."""
+    levels = counts.groupBy(F.floor(F.log2("n")).cast("int").alias("level")).count().collect()
+    total, least = 0, 1 << 62
+    for row in sorted(levels, reverse=True):
+        total += row["count"]
+        if total > KNOWN:
+            break
+        least = 1 << row["level"]
+    rows = counts.where(F.col("n") >= least).toArrow()
+    words = rows.column("word").to_numpy().view(np.uint64)
+    order = np.argsort(words)
+    return words[order], np.log(rows.column("n").to_numpy()[order]), least
 
 
 def start(class_counts: np.ndarray) -> dict[str, np.ndarray]:
@@ -90,17 +132,15 @@ def shaped(numbers: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def contexts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """The classes around every word, a column for each side; beyond a text's end stands CLASSES."""
-    n = len(classes)
+def contexts(classes: np.ndarray, first: np.ndarray, chosen=slice(None)) -> np.ndarray:
+    """The classes around the words chosen, a column for each side; beyond a text's end stands CLASSES."""
+    reach = max(SIDES)
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    low, high = first[row], first[row + 1]
-    around = np.full((n, len(SIDES)), CLASSES, dtype=np.int64)
-    for k, side in enumerate(SIDES):
-        at = np.arange(n) + side
-        inside = (at >= low) & (at < high)
-        around[inside, k] = classes[at[inside]]
-    return around
+    place = np.arange(len(classes)) + reach * (row + 1)
+    spaced = np.full(len(classes) + reach * len(first), CLASSES, dtype=np.int64)
+    spaced[place] = classes
+    place = place[chosen]
+    return np.stack([spaced[place + side] for side in SIDES]).T
 
 
 def hidden_values(model, around: np.ndarray) -> np.ndarray:
@@ -139,16 +179,22 @@ def train(model, batches) -> int:
     seen = step = 0
     for around, target in batches:
         n = len(target)
-        hidden, logp = forward(model, around)
-        error = np.exp(logp)
+        hidden = hidden_values(model, around)
+        error = hidden @ model["out"]
+        error += model["bias"]
+        error -= error.max(axis=1, keepdims=True)
+        np.exp(error, out=error)
+        error /= error.sum(axis=1, keepdims=True)
         error[np.arange(n), target] -= 1
         error /= n
         back = (error @ model["out"].T) * (1 - hidden * hidden)
         grads = {"out": hidden.T @ error, "bias": error.sum(axis=0), "hidden": back.sum(axis=0), "context": np.zeros_like(model["context"])}
         for k in range(len(SIDES)):
-            which = np.zeros((CLASSES + 1, n), dtype=np.float32)
-            which[around[:, k], np.arange(n)] = 1
-            grads["context"][k] = which @ back
+            side = around[:, k].astype(np.int16)
+            order = np.argsort(side, kind="stable")
+            side = side[order]
+            starts = np.flatnonzero(np.r_[True, side[1:] != side[:-1]])
+            grads["context"][k][side[starts]] = np.add.reduceat(back[order], starts)
         step, seen = step + 1, seen + n
         for name, g in grads.items():
             first[name] = 0.9 * first[name] + 0.1 * g
@@ -157,10 +203,15 @@ def train(model, batches) -> int:
     return seen
 
 
-def trained(docs: DataFrame) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """``(class of each hash slot, network)`` from all documents."""
-    classes, counts = word_classes(docs)
-    model = flat(start(counts))
+def targets_of(own: np.ndarray, first: np.ndarray, turn: int) -> np.ndarray:
+    """Which words are targets in a round: each word of a text is one in exactly one of ROUNDS."""
+    place = np.arange(len(own)) - np.repeat(first[:-1], np.diff(first))
+    return np.flatnonzero(place % ROUNDS == turn)
+
+
+def trained(docs: DataFrame, classes: np.ndarray, class_counts: np.ndarray) -> dict[str, np.ndarray]:
+    """The network from all documents."""
+    model = flat(start(class_counts))
     for turn in range(ROUNDS):
 
         def fit(batches, model=model, turn=turn):
@@ -172,11 +223,10 @@ def trained(docs: DataFrame) -> tuple[np.ndarray, dict[str, np.ndarray]]:
                     for low, high in batches_of(batch.column(0), 1 << 20):
                         words, first = hash_words(batch.column(0).slice(low, high - low), SPACED_WORDS, LOWER)
                         own = classes[_slots(words)].astype(np.int64)
-                        place = np.arange(len(words)) - np.repeat(first[:-1], np.diff(first))
-                        chosen = place % STRIDE == turn * STRIDE // ROUNDS
-                        held_x.append(contexts(own, first)[chosen])
+                        chosen = targets_of(own, first, turn)
+                        held_x.append(contexts(own, first, chosen))
                         held_y.append(own[chosen])
-                        size += int(chosen.sum())
+                        size += len(chosen)
                         if size >= BATCH:
                             x, y = np.concatenate(held_x), np.concatenate(held_y)
                             for s in range(0, size - BATCH + 1, BATCH):
@@ -192,18 +242,27 @@ def trained(docs: DataFrame) -> tuple[np.ndarray, dict[str, np.ndarray]]:
         total = _summed(docs.select("text").mapInArrow(fit, "block INT, numbers BINARY"), len(model) + 1)
         if total[-1]:
             model = (total[:-1] / total[-1]).astype(np.float32)
-    return classes, shaped(model)
+    return shaped(model)
 
 
-def scores(texts: pa.Array, classes: np.ndarray, model) -> tuple[np.ndarray, np.ndarray]:
-    """``(words, summed log-probability)`` of each text."""
-    words, first = hash_words(texts, SPACED_WORDS, LOWER)
+def class_logp(words: np.ndarray, first: np.ndarray, classes: np.ndarray, model) -> tuple[np.ndarray, np.ndarray]:
+    """``(class, log-probability of the class)`` of each word."""
     own = classes[_slots(words)].astype(np.int64)
     around = contexts(own, first)
     logp = np.zeros(len(own))
     for s in range(0, len(own), BATCH):
         logp[s : s + BATCH] = target_logp(model, around[s : s + BATCH], own[s : s + BATCH])
-    return np.diff(first), np.diff(np.concatenate([[0.0], np.cumsum(logp)])[first])
+    return own, logp
+
+
+def added_up(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return np.diff(np.concatenate([[0.0], np.cumsum(values)])[first])
+
+
+def scores(texts: pa.Array, classes: np.ndarray, model) -> tuple[np.ndarray, np.ndarray]:
+    """``(words, summed log-probability of their classes)`` of each text."""
+    words, first = hash_words(texts, SPACED_WORDS, LOWER)
+    return np.diff(first), added_up(class_logp(words, first, classes, model)[1], first)
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
@@ -213,13 +272,37 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     gives no rows; other columns are not looked at.
     """
     docs = texts_of(docs)
-    classes, model = trained(docs)
+    counts = stored(word_counts(docs), "word_counts")
+    classes, class_counts = word_classes(counts)
+    known, known_log, least = known_words(counts)
+    model = trained(docs, classes, class_counts)
 
     def score(batches):
+        row = TaskContext.get().partitionId() << 33
+        log_class = np.log(np.maximum(class_counts, 1))
         for batch in batches:
             for low, high in batches_of(batch.column(1), 1 << 20):
-                n, total = scores(batch.column(1).slice(low, high - low), classes, model)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.array(n.astype(np.int64)), pa.array(total)], names=["doc_id", "n_tokens", "score"])
-
-    rows = docs.mapInArrow(score, "doc_id BIGINT, n_tokens BIGINT, score DOUBLE")
-    return rows.withColumn("mean_score", F.when(F.col("n_tokens") > 0, F.col("score") / F.col("n_tokens")))
+                words, first = hash_words(batch.column(1).slice(low, high - low), SPACED_WORDS, LOWER)
+                own, logp = class_logp(words, first, classes, model)
+                logp -= log_class[own]
+                at = np.searchsorted(known, words)
+                found = np.zeros(len(words), dtype=bool)
+                inside = np.flatnonzero(at < len(known))
+                found[inside] = known[at[inside]] == words[inside]
+                logp[found] += known_log[at[found]]
+                others = np.concatenate([[0], np.cumsum(~found)])[first]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.arange(row, row + high - low)), batch.column(0).slice(low, high - low), pa.array(np.diff(first).astype(np.int64)),
+                        pa.array(added_up(logp, first)), pa.ListArray.from_arrays(pa.array(others.astype(np.int32)), pa.array(words[~found].view(np.int64))),
+                    ],
+                    names=["row", "doc_id", "n_tokens", "known", "others"],
+                )
+                row += high - low
+
+    rows = stored(docs.mapInArrow(score, "row BIGINT, doc_id BIGINT, n_tokens BIGINT, known DOUBLE, others ARRAY<BIGINT>"), "scored")
+    # The logarithm of a count of 1 is 0, so words that occur once need no partner.
+    others = rows.select("row", F.explode("others").alias("word")).join(counts.where((F.col("n") > 1) & (F.col("n") < least)), "word")
+    rest = others.groupBy("row").agg(F.sum(F.log("n")).alias("rest"))
+    out = rows.drop("others").join(rest, "row", "left").withColumn("score", F.col("known") + F.coalesce("rest", F.lit(0.0)))
+    return out.select("doc_id", "n_tokens", "score", F.when(F.col("n_tokens") > 0, F.col("score") / F.col("n_tokens")).alias("mean_score"))

@@ -15,8 +15,6 @@ from tidegauge.functions.rows import compute_once
 from tidegauge.llm.common import stored
 
 CALL = "array<struct<id string, name string, arguments variant, after array<string>>>"
-# Calls behind a longer chain of calls that each wait for a later one, or in a ring, have no order.
-MOST_HOPS = 8
 
 # Type names as the schema of a JSON value gives them.
 TYPES = {"string": ["STRING"], "integer": ["BIGINT"], "number": ["BIGINT", "DOUBLE", "DECIMAL"], "boolean": ["BOOLEAN"]}
@@ -73,31 +71,112 @@ def problems(schemas: Schemas) -> Column:
     return verdict
 
 
+def _later(due: Column, steps: Column) -> Column:
+    """The place ``steps`` waits behind one; null stays null."""
+    return F.when(due.isNotNull(), F.struct(due["turn"].alias("turn"), due["pos"].alias("pos"), (due["hops"] + steps).cast("int").alias("hops")))
+
+
+def _chains(keys: DataFrame, waits: DataFrame) -> DataFrame:
+    """``(conv_id, call_id, to, best, steps, ring)`` of calls that wait for exactly one.
+
+    ``best`` is the latest place that the calls up to ``to`` give. ``to`` is the first call on the
+    way that waits for several, null if there is none. Ways are doubled in each round. A way
+    longer than there are calls in the conversation leads into a ring.
+    """
+    single = waits.where("n = 1").select("conv_id", "call_id", F.col("other").alias("to"))
+    targets = keys.join(waits.select("conv_id", "call_id", "n").distinct(), ["conv_id", "call_id"], "left")
+    targets = targets.select("conv_id", F.col("call_id").alias("to"), F.col("own").alias("to_own"), F.coalesce("n", F.lit(0)).alias("to_n"))
+    best = F.greatest("own", F.when(F.col("to_n") == 0, _later(F.col("to_own"), F.lit(1))))
+    ways = single.join(keys, ["conv_id", "call_id"]).join(targets, ["conv_id", "to"]).select(
+        "conv_id", "call_id", F.when(F.col("to_n") > 0, F.col("to")).alias("to"), best.alias("best"), F.lit(1).cast("bigint").alias("steps"),
+        ((F.col("to_n") == 1) & (F.col("to") == F.col("call_id"))).alias("ring"), ((F.col("to_n") != 1) | (F.col("to") == F.col("call_id"))).alias("ended"),
+    )
+    ways = stored(ways, "ways")
+    longest = ways.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    reach = 1
+    while reach <= longest and not ways.where("NOT ended").isEmpty():
+        reach *= 2
+        next_way = ways.select("conv_id", F.col("call_id").alias("to"), *(F.col(c).alias(f"next_{c}") for c in ("to", "best", "steps", "ring", "ended")))
+        ring = F.col("next_ring") | F.coalesce(~F.col("next_ended") & (F.col("next_to") == F.col("call_id")), F.lit(False))
+        moved = ways.where("NOT ended").join(next_way, ["conv_id", "to"]).select(
+            "conv_id", "call_id", F.col("next_to").alias("to"), F.greatest("best", _later(F.col("next_best"), F.col("steps"))).alias("best"),
+            (F.col("steps") + F.col("next_steps")).alias("steps"), ring.alias("ring"), (ring | F.col("next_ended")).alias("ended"),
+        )
+        ways = stored(ways.where("ended").unionByName(moved), "ways")
+    return ways.select("conv_id", "call_id", "to", "best", "steps", (F.col("ring") | ~F.col("ended")).alias("ring"))
+
+
+def _forks(keys: DataFrame, waits: DataFrame, ways: DataFrame) -> DataFrame:
+    """``(conv_id, call_id, due)`` of calls that wait for several and are not in or behind a ring.
+
+    Only those count that can come to a wait for a later one, the rest keep their places. They are
+    taken off, round by round, as soon as they wait for none that is left, until none can be.
+    """
+    spot, several = ["conv_id", "call_id"], waits.where("n > 1").select("conv_id", "call_id", "other")
+    other_way = ways.select("conv_id", F.col("call_id").alias("other"), "to", "best", "steps", "ring")
+    other_own = keys.select("conv_id", F.col("call_id").alias("other"), F.col("own").alias("other_own"))
+    fork_ids = several.select("conv_id", F.col("call_id").alias("other"), F.lit(True).alias("fork")).distinct()
+    links = several.join(other_own, ["conv_id", "other"]).join(other_way, ["conv_id", "other"], "left").join(fork_ids, ["conv_id", "other"], "left")
+    direct = F.when(F.col("fork").isNull(), F.col("other_own"))
+    links = stored(links.select(
+        *spot, F.when(F.col("fork"), F.col("other")).otherwise(F.col("to")).alias("to"), _later(F.coalesce("best", direct), F.lit(1)).alias("value"),
+        (F.coalesce("steps", F.lit(0)) + 1).alias("steps"), F.coalesce("ring", F.lit(False)).alias("ring"),
+    ), "links")
+    forks = links.groupBy(*spot).agg(F.max("value").alias("value"), F.max("ring").alias("ring")).join(keys, spot)
+    forks = stored(forks.select(*spot, F.greatest("own", "value").alias("due"), "ring"), "forks")
+    edges = stored(links.where("to IS NOT NULL AND NOT ring").groupBy(*spot, "to").agg(F.max("steps").alias("steps")), "edges")
+
+    to_due = forks.select("conv_id", F.col("call_id").alias("to"), F.col("due").alias("to_due"))
+    def spot_of(due):
+        return F.struct(F.col(f"{due}.turn").alias("turn"), F.col(f"{due}.pos").alias("pos"))
+
+    upward = edges.join(to_due, ["conv_id", "to"]).join(forks, spot).where(spot_of("to_due") >= spot_of("due"))
+    fresh = moving = stored(forks.where("ring").select(*spot).unionByName(upward.select(*spot)).distinct(), "moving")
+    while not fresh.isEmpty():
+        fresh = edges.join(fresh.withColumnRenamed("call_id", "to"), ["conv_id", "to"]).select(*spot).distinct()
+        fresh = stored(fresh.join(moving, spot, "left_anti"), "fresh")
+        moving = stored(moving.unionByName(fresh), "moving")
+
+    done = fresh = stored(forks.join(moving, spot, "left_anti").select(*spot, "due"), "done")
+    left = stored(forks.join(moving, spot, "left_semi").where("NOT ring").select(*spot, "due"), "left")
+    edges = stored(edges.join(left, spot, "left_semi"), "edges")
+    while not left.isEmpty():
+        behind = fresh.select("conv_id", F.col("call_id").alias("to"), F.col("due").alias("to_due"))
+        met = edges.join(behind, ["conv_id", "to"]).groupBy(*spot).agg(F.max(_later(F.col("to_due"), F.col("steps"))).alias("value"))
+        left = stored(left.join(met, spot, "left").select(*spot, F.greatest("due", "value").alias("due")), "left")
+        edges = stored(edges.join(behind, ["conv_id", "to"], "left_anti"), "edges")
+        fresh = stored(left.join(edges, spot, "left_anti"), "fresh")
+        if fresh.isEmpty():
+            break
+        left = stored(left.join(fresh, spot, "left_anti"), "left")
+        done = done.unionByName(fresh)
+    return done
+
+
 def ordered(rows: DataFrame) -> DataFrame:
     """Add ``due_turn``, ``due_pos`` and ``hops``: sorting by them, then by turn and place, puts
-    every call behind those it depends on. ``hops`` is null for calls in a ring of dependencies
-    or behind a chain of more than MOST_HOPS of later ones.
+    every call behind those it depends on. They are null for calls in or behind a ring.
 
-    A call stands at its own place, or behind the latest of the calls it waits for. Only calls
-    that wait for later ones move, so rounds are as many as such steps follow one another.
+    A call stands at its own place, or behind the latest of the calls it waits for, directly or
+    not; ``hops`` counts the waits between the two. Calls that wait for one form chains, which take
+    as many rounds as their length has binary digits; those that wait for several are taken off
+    one after the other where they come to a wait for a later call.
     """
     own = F.struct(F.col("turn").alias("turn"), F.col("pos").alias("pos"), F.lit(0).alias("hops"))
     keys = rows.select("conv_id", "call_id", own.alias("own"))
     waits = rows.select("conv_id", "call_id", F.explode(F.array_distinct("after")).alias("other"))
-    targets = keys.select("conv_id", F.col("call_id").alias("other"), F.col("own").alias("other_own"))
-    waits = stored(waits.join(targets, ["conv_id", "other"]).select("conv_id", "call_id", "other"), "waits")
-    due = stored(keys.select("conv_id", "call_id", F.col("own").alias("due")), "due")
-    for _ in range(2 * MOST_HOPS + 1):  # as a ring goes round, its hops grow beyond the bound
-        of_other = due.select("conv_id", F.col("call_id").alias("other"), F.col("due").alias("other_due"))
-        behind = waits.join(of_other, ["conv_id", "other"]).groupBy("conv_id", "call_id").agg(F.max("other_due").alias("latest"))
-        after = F.struct(F.col("latest.turn").alias("turn"), F.col("latest.pos").alias("pos"), (F.col("latest.hops") + 1).alias("hops"))
-        moved = due.join(behind, ["conv_id", "call_id"]).where(F.col("due") < after).select("conv_id", "call_id", after.alias("later"))
-        moved = stored(moved, "moved")
-        if moved.isEmpty():
-            break
-        due = stored(due.join(moved, ["conv_id", "call_id"], "left").select("conv_id", "call_id", F.coalesce("later", "due").alias("due")), "due")
-    due = due.select("conv_id", "call_id", F.when(F.col("due.hops") <= MOST_HOPS, F.col("due")).alias("due"))
-    return rows.join(due, ["conv_id", "call_id"]).select(
+    waits = waits.join(keys.select("conv_id", F.col("call_id").alias("other")), ["conv_id", "other"])
+    n_waits = waits.groupBy("conv_id", "call_id").agg(F.collect_list("other").alias("others"))
+    waits = stored(n_waits.select("conv_id", "call_id", F.size("others").alias("n"), F.explode("others").alias("other")), "waits")
+    keys = stored(keys, "keys")
+    ways = _chains(keys, waits)
+    due = keys.join(waits, ["conv_id", "call_id"], "left_anti").select("conv_id", "call_id", F.col("own").alias("due"))
+    due = due.unionByName(ways.where("NOT ring AND to IS NULL").select("conv_id", "call_id", F.col("best").alias("due")))
+    if not waits.where("n > 1").isEmpty():
+        forks = _forks(keys, waits, ways)
+        behind = ways.where("NOT ring").join(forks.select("conv_id", F.col("call_id").alias("to"), F.col("due").alias("to_due")), ["conv_id", "to"])
+        due = due.unionByName(forks).unionByName(behind.select("conv_id", "call_id", F.greatest("best", _later(F.col("to_due"), F.col("steps"))).alias("due")))
+    return rows.join(due, ["conv_id", "call_id"], "left").select(
         *rows.columns, F.col("due.turn").alias("due_turn"), F.col("due.pos").alias("due_pos"), F.col("due.hops").alias("hops")
     )
 

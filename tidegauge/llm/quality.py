@@ -2,13 +2,15 @@
 
 Every document gives a vector of transformed statistics. For each language and source the
 minimum-covariance-determinant estimate is found by concentration steps: the three quarters of
-the documents that are nearest to the present centre give the next centre and covariance. A
-document is rejected if its Mahalanobis distance from the last estimate is beyond the bound.
+the documents that are nearest to the present centre give the next centre and covariance, until
+the determinant no longer falls. Of several starts, one from medians and quartiles, each group
+keeps the one that ends with the smallest determinant. A document is rejected if its Mahalanobis distance from the last estimate is beyond the bound.
 
 All is done by SQL functions. The statistics are whole numbers (1/256 of a unit), so their sums
 are exact and the result doesn't depend on the order of rows. A step needs one pass: moments
-are summed by group and ring of distance, and the nearest rings are added up. No task
-holds a group. Small groups lean on the estimate of all documents, weighted like PRIOR documents.
+are summed by group and ring of distance, and the nearest rings are added up, the last one by the
+part that is wanted of it. No task holds a group. Small groups lean on the estimate of all documents,
+weighted like PRIOR documents; it is formed first, from estimates of the groups on their own.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ SPACE = r"\x20\x09-\x0D"
 SYMBOLS = "[#*$%&|<>]"
 UNIT = 256
 SHARE = 0.75
-STEPS = 3
+# A step counts if the logarithm of the determinant falls by more than this.
+LEAST_FALL = 1e-6
 PRIOR = 50
 SALTS = 32
 # Variance of the nearest three quarters of four normal variables is smaller by this factor.
@@ -32,6 +35,8 @@ CONSISTENCY = 1.485
 LEAST_SPREAD = {"word_length": 0.05, "symbols": 0.3, "dup_lines": 0.4, "repeats": 0.5}
 # The chi-square quantile of four degrees of freedom that one normal document in a million exceeds.
 BOUND = 33.4
+# The upper quartile of a normal variable, in standard deviations.
+QUARTILE = 0.6745
 NAMES = list(LEAST_SPREAD)
 POSITION = (1 << 31) - 1
 
@@ -106,6 +111,8 @@ def vectors(stats: DataFrame) -> DataFrame:
 PAIRS = [(i, j) for i in range(len(NAMES)) for j in range(i, len(NAMES))]
 MOMENTS = ["n", *(f"s{i}" for i in range(len(NAMES))), *(f"s{i}{j}" for i, j in PAIRS)]
 
+ESTIMATE = [*(f"m{i}" for i in range(len(NAMES))), *(f"l{i}{j}" for i in range(len(NAMES)) for j in range(i + 1))]
+
 
 def _moments() -> list[Column]:
     x = [F.col(name) for name in NAMES]
@@ -116,15 +123,21 @@ def _added(moments: DataFrame, *keys: str) -> DataFrame:
     return moments.groupBy(*keys).agg(*(F.sum(m).alias(m) for m in MOMENTS))
 
 
-def estimates(moments: DataFrame) -> DataFrame:
-    """Centre ``m0..`` and Cholesky factor ``l00, l10, ..`` of each group's covariance."""
+def estimates(moments: DataFrame, overall: dict | None = None, weight: int = PRIOR) -> DataFrame:
+    """Centre ``m0..`` and Cholesky factor ``l00, l10, ..`` of each group's covariance.
+
+    ``overall`` are the moments that groups lean on, those of all groups if not given.
+    """
     d = len(NAMES)
-    overall = _added(moments).first()
+    if overall is None:
+        overall = _added(moments).first().asDict()
     total = float(overall["n"] or 0)
-    n = F.col("n") + (PRIOR if total else 0)
-    prior_1 = [PRIOR * overall[f"s{i}"] / total if total else 0.0 for i in range(d)]
-    prior_2 = {(i, j): PRIOR * overall[f"s{i}{j}"] / total if total else 0.0 for i, j in PAIRS}
-    rows = moments.select("group", *(((F.col(f"s{i}") + F.lit(float(prior_1[i]))) / n / UNIT).alias(f"m{i}") for i in range(d)), *(((F.col(f"s{i}{j}") + F.lit(float(prior_2[i, j]))) / n / UNIT**2).alias(f"q{i}{j}") for i, j in PAIRS))
+    prior = weight if total else 0
+    n = F.col("n") + prior
+    prior_1 = [prior * overall[f"s{i}"] / total if total else 0.0 for i in range(d)]
+    prior_2 = {(i, j): prior * overall[f"s{i}{j}"] / total if total else 0.0 for i, j in PAIRS}
+    keys = [c for c in ("start", "group") if c in moments.columns]
+    rows = moments.select(*keys, *MOMENTS, *(((F.col(f"s{i}") + F.lit(float(prior_1[i]))) / n / UNIT).alias(f"m{i}") for i in range(d)), *(((F.col(f"s{i}{j}") + F.lit(float(prior_2[i, j]))) / n / UNIT**2).alias(f"q{i}{j}") for i, j in PAIRS))
     for i in range(d):
         for j in range(i + 1):
             value = CONSISTENCY * (F.col(f"q{j}{i}") - F.col(f"m{i}") * F.col(f"m{j}"))
@@ -134,12 +147,32 @@ def estimates(moments: DataFrame) -> DataFrame:
                 value = value - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             # The added spread keeps the matrix positive; the floor is for rounding alone.
             rows = rows.withColumn(f"l{i}{j}", F.sqrt(F.greatest(value, F.lit(1e-6))) if i == j else value / F.col(f"l{j}{j}"))
-    return rows.select("group", *(f"m{i}" for i in range(d)), *(f"l{i}{j}" for i in range(d) for j in range(i + 1)))
+    log_det = sum((F.log(f"l{i}{i}") for i in range(1, d)), F.log("l00"))
+    return rows.select(*keys, *MOMENTS, *ESTIMATE, (2 * log_det).alias("log_det"))
+
+
+def quartile_start(rows: DataFrame) -> DataFrame:
+    """Medians as the centre, and the lesser distance from there to a quartile as the spread.
+
+    What lies on one side, up to half of a group, moves neither far.
+    """
+    d = len(NAMES)
+    parts = rows.groupBy("group").agg(*(F.percentile_approx(name, [0.25, 0.5, 0.75], 1000).alias(f"p{i}") for i, name in enumerate(NAMES)))
+    centre = [(F.col(f"p{i}")[1] / UNIT).alias(f"m{i}") for i in range(d)]
+
+    def spread(i):
+        p = F.col(f"p{i}")
+        return F.greatest(F.least(p[2] - p[1], p[1] - p[0]) / UNIT / QUARTILE, F.lit(LEAST_SPREAD[NAMES[i]]))
+
+    factor = [(spread(i) if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i in range(d) for j in range(i + 1)]
+    return parts.select("group", *centre, *factor)
 
 
 def distances(rows: DataFrame, fitted: DataFrame) -> DataFrame:
-    """Add ``distance``, the squared Mahalanobis distance from the group's estimate."""
+    """Add ``distance``, the squared Mahalanobis distance from the group's estimate; a row comes once for each ``start``."""
     d = len(NAMES)
+    keys = [c for c in ("start",) if c in fitted.columns]
+    fitted = fitted.select(*keys, "group", *ESTIMATE)
     # A group may hold a third of all rows: they are spread over SALTS copies of its estimate.
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", *NAMES), F.lit(SALTS)).cast("int"))
@@ -150,16 +183,52 @@ def distances(rows: DataFrame, fitted: DataFrame) -> DataFrame:
             value = value - F.col(f"l{i}{k}") * F.col(f"y{k}")
         out = out.withColumn(f"y{i}", value / F.col(f"l{i}{i}"))
     total = sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(1, d)), F.col("y0") * F.col("y0"))
-    return out.select(*rows.columns, total.alias("distance"))
+    return out.select(*keys, *rows.columns, total.alias("distance"))
 
 
 def nearest(rows: DataFrame, fitted: DataFrame) -> DataFrame:
-    """Moments of the nearest SHARE of each group, whole rings of distance at a time."""
+    """Moments of the nearest SHARE of each start and group: whole rings of distance, and a part of the last."""
     ring = F.floor(16 * F.log2(1 + F.col("distance"))).cast("int").alias("ring")
-    rings = distances(rows, fitted).groupBy("group", ring).agg(*_moments())
-    inner = Window.partitionBy("group").orderBy("ring").rowsBetween(Window.unboundedPreceding, -1)
-    counted = rings.withColumn("inside", F.coalesce(F.sum("n").over(inner), F.lit(0))).withColumn("all", F.sum("n").over(Window.partitionBy("group")))
-    return _added(counted.where(F.col("inside") < SHARE * F.col("all")), "group")
+    rings = distances(rows, fitted).where("start IS NOT NULL").groupBy("start", "group", ring).agg(*_moments())
+    whole = Window.partitionBy("start", "group")
+    inner = whole.orderBy("ring").rowsBetween(Window.unboundedPreceding, -1)
+    counted = rings.withColumn("inside", F.coalesce(F.sum("n").over(inner), F.lit(0))).withColumn("wanted", F.ceil(SHARE * F.sum("n").over(whole)) - F.col("inside"))
+    part = F.least(F.lit(1.0), F.col("wanted") / F.col("n"))
+    taken = counted.where("wanted > 0").select("start", "group", *(F.round(part * F.col(m)).cast("bigint").alias(m) for m in MOMENTS))
+    return _added(taken, "start", "group")
+
+
+def concentrated(rows: DataFrame, starts: list[DataFrame], overall: dict | None, weight: int) -> DataFrame:
+    """The estimate of the smallest determinant for each group, with its moments.
+
+    Each start and group takes steps until its determinant no longer falls, so there is an end.
+    """
+    fitted = starts[0].select(F.lit(0).alias("start"), "group", *ESTIMATE)
+    for k, more in enumerate(starts[1:], 1):
+        fitted = fitted.unionByName(more.select(F.lit(k).alias("start"), "group", *ESTIMATE))
+    fitted, reached = stored(fitted, "starts"), None
+    while True:
+        step = estimates(nearest(rows, fitted), overall, weight)
+        if reached is not None:
+            before = reached.select("start", "group", F.col("log_det").alias("before"))
+            step = step.join(before, ["start", "group"]).where(F.col("log_det") < F.col("before") - LEAST_FALL).drop("before")
+        fitted = stored(step, "step")
+        if fitted.isEmpty():
+            break
+        reached = fitted if reached is None else stored(reached.join(fitted, ["start", "group"], "left_anti").unionByName(fitted), "reached")
+    if reached is None:
+        return fitted.drop("start")
+    best = reached.groupBy("group").agg(F.min(F.struct("log_det", "start", *MOMENTS, *ESTIMATE)).alias("best"))
+    return best.select("group", *(F.col(f"best.{c}").alias(c) for c in (*MOMENTS, *ESTIMATE, "log_det")))
+
+
+def fit(rows: DataFrame) -> DataFrame:
+    """The minimum-covariance-determinant estimate of each group of ``rows``."""
+    alone = {m: 0 for m in MOMENTS}
+    quartiles = stored(quartile_start(rows), "quartiles")
+    own = stored(concentrated(rows, [estimates(rows.groupBy("group").agg(*_moments())), quartiles], alone, 0), "own")
+    overall = _added(own).first().asDict()
+    return stored(concentrated(rows, [own, quartiles], overall, PRIOR), "estimates")
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -170,8 +239,6 @@ def judged(docs: DataFrame) -> DataFrame:
     """
     rows = stored(vectors(statistics(docs)), "statistics")
     used = rows.where("NOT base_failed")
-    fitted = stored(estimates(used.groupBy("group").agg(*_moments())), "estimates")
-    for _ in range(STEPS):
-        fitted = stored(estimates(nearest(used, fitted)), "estimates")
+    fitted = fit(used)
     out = distances(rows, fitted).withColumn("distance", F.when(~F.col("base_failed"), F.col("distance")))
     return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= BOUND, F.lit(False))).drop("group", *NAMES)

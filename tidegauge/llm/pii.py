@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.rows import compute_once
 from tidegauge.llm.common import texts_of
-from tidegauge.llm.spans import cut, replaced, span_text, with_spans
+from tidegauge.llm.spans import cut, replaced, span_text, with_context, with_spans
 
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
@@ -41,21 +41,21 @@ def digits(match: Column) -> Column:
     return F.regexp_replace(match, "[^0-9]", "")
 
 
-def _email(match: Column, before: Column) -> Column:
+def _email(match: Column, around: Column) -> Column:
     return F.lit(True)
 
 
-def _ip(match: Column, before: Column) -> Column:
+def _ip(match: Column, around: Column) -> Column:
     part = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
     return match.rlike(rf"^{part}(?:\.{part}){{3}}$")
 
 
-def _card(match: Column, before: Column) -> Column:
+def _card(match: Column, around: Column) -> Column:
     plain = digits(match)
     return F.char_length(plain).between(14, 19) & F.call_function("luhn_check", plain)
 
 
-def _phone(match: Column, before: Column) -> Column:
+def _phone(match: Column, around: Column) -> Column:
     return F.char_length(digits(match)).between(10, 15)
 
 
@@ -73,11 +73,11 @@ def mod_97(match: Column) -> Column:
     )
 
 
-def _near(kind: str, before: Column) -> Column:
-    return before.rlike(rf"(?i)(?<![a-z])(?:{CONTEXT_WORDS[kind]})(?![a-z])")
+def _near(kind: str, around: Column) -> Column:
+    return around.rlike(rf"(?i)(?<![a-z])(?:{CONTEXT_WORDS[kind]})(?![a-z])")
 
 
-def score(kind: str, match: Column, before: Column) -> Column:
+def score(kind: str, match: Column, around: Column) -> Column:
     """What pattern, checksum and context words say together of an added kind."""
     if kind == "iban":
         known = F.when(mod_97(match) == 1, 0.6).otherwise(-0.4)
@@ -85,11 +85,11 @@ def score(kind: str, match: Column, before: Column) -> Column:
         known = F.when(~match.rlike("^(?:000|666|9..)|-00-|-0000$"), 0.2).otherwise(-0.4)
     else:
         known = F.lit(0.0)
-    return 0.3 + known + F.when(_near(kind, before), 0.4).otherwise(0.0)
+    return 0.3 + known + F.when(_near(kind, around), 0.4).otherwise(0.0)
 
 
 def _scored(kind: str):
-    return lambda match, before: score(kind, match, before) >= LEAST_SCORE
+    return lambda match, around: score(kind, match, around) >= LEAST_SCORE
 
 
 def rules() -> list[tuple[str, str, Column, object]]:
@@ -115,12 +115,12 @@ def find(docs: DataFrame) -> DataFrame:
     """``(doc_id, email, ip, card, phone, iban, ssn, local_phone)``: the spans of each kind.
 
     A span has ``start`` and ``end`` in code points (end exclusive), its ``text`` and the
-    characters ``before``. Null texts count as empty, empty texts have no spans; equal rows are
+    characters ``around`` it where the kind looks at them. Null texts count as empty, empty texts have no spans; equal rows are
     kept, as is a row without an id.
     """
     rows = _prepared(texts_of(docs))
     for kind, pattern, possible, valid in rules():
-        rows = with_spans(rows, kind, pattern, possible, valid)
+        rows = with_spans(rows, kind, pattern, possible, valid, kind in ADDED)
     return rows.select("doc_id", *KINDS)
 
 
@@ -140,8 +140,10 @@ def redact(docs: DataFrame) -> DataFrame:
     rows = compute_once(docs, "_digits", F.coalesce(F.col("text").rlike("[0-9]"), F.lit(False)))
     for kind, pattern, possible, valid in rules():
         parts = compute_once(rows, "_parts", cut(F.col("text"), pattern, F.coalesce(possible, F.lit(False))))
-        text = F.when(F.size("_parts.found") > 0, replaced(F.col("_parts"), f"[{kind.upper()}]", valid)).otherwise(F.col("text"))
-        rows = compute_once(parts, "_text", text).withColumn("text", F.col("_text")).drop("_parts", "_text")
+        parts = with_context(parts, "_parts", "_around") if kind in ADDED else parts
+        clean = replaced(F.col("_parts"), f"[{kind.upper()}]", valid, F.col("_around") if kind in ADDED else None)
+        text = F.when(F.size("_parts.found") > 0, clean).otherwise(F.col("text"))
+        rows = compute_once(parts, "_text", text).withColumn("text", F.col("_text")).drop("_parts", "_around", "_text")
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return rows.select(docs.columns)

@@ -279,8 +279,12 @@ def shared_lists(posted: DataFrame) -> DataFrame:
 
 
 def least_shared(low: Column, high: Column, percent: int) -> Column:
-    """``needed`` as a column."""
-    return F.greatest(F.lit(1), F.ceil(percent * (low + high) / (100 + percent)) - F.ceil(percent * high / 100) + 1)
+    """What ``needed`` is at least for any two sizes from ``low`` to ``high``.
+
+    ``needed`` itself may rise with ``high`` by its rounding. Without rounding it falls, and for
+    no pair of sizes in the range it is below the value at the ends, rounded down, plus one.
+    """
+    return F.greatest(F.lit(1), F.floor(percent * (100 * low - percent * high) / (100 * (100 + percent))) + 1)
 
 
 def equal_sets(members: DataFrame) -> DataFrame:
@@ -363,7 +367,7 @@ def pairs_across(met: DataFrame, percent: int) -> DataFrame:
                     fits = (100 * highs[i + 1 : end] >= percent * lows[i]) & (100 * highs[i] >= percent * lows[i + 1 : end])
                     chosen = np.flatnonzero(fits & (labels[i + 1 : end] != labels[i]))
                     low, high = low[chosen], high[chosen]
-                    least = np.maximum(1, -(-percent * (low + high) // (100 + percent)) + -percent * high // 100 + 1)
+                    least = np.maximum(1, percent * (100 * low - percent * high) // (100 * (100 + percent)) + 1)
                     held.append((np.full(len(chosen), gids[i]), gids[i + 1 + chosen], np.full(len(chosen), n), least))
                     size += len(chosen)
                     if size >= HELD_PAIRS:

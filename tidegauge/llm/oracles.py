@@ -1,3 +1,9 @@
-"""DuckDB SQL for the queries of this package that SQL can express."""
+"""SQL oracles of the queries that DuckDB can state; the others are tested against brute force."""
 
-ORACLES: dict[str, str] = {}
+from tidegauge.llm import license_scan, phrase_mining, prefix_trie
+
+ORACLES = {
+    "op11_setm_collocations": phrase_mining.ORACLE,
+    "op12_license_diagonals": license_scan.ORACLE,
+    "op13_zfast_trie": prefix_trie.ORACLE,
+}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bpe_chunks, jaccard_groups, phrase_index, pii, pseudo_lm, quality, repair_files, secret_scan, sharding, tool_links
+from tidegauge.llm import bpe_chunks, jaccard_groups, license_scan, phrase_index, phrase_mining, pii, prefix_trie, pseudo_lm, quality, repair_files, secret_scan, sharding, tool_links
 from tidegauge.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -64,10 +64,23 @@ def op10_bpe_chunk_reuse(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
 
 
+def op11_setm_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrase_mining.collocations(table(spark, folder, "documents"))
+
+
+def op12_license_diagonals(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.summary(license_scan.scan(table(spark, folder, "documents")))
+
+
+def op13_zfast_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_pii_spans, op2_tool_call_links, op3_vector_packing, op4_repair_token_files, op5_robust_outliers, op6_jaccard_groups, op7_pseudo_likelihood,
         op8_secret_entropy, op9_phrase_decontamination, op10_bpe_chunk_reuse,
+        op11_setm_collocations, op12_license_diagonals, op13_zfast_trie,
     )
 }

@@ -1,18 +1,17 @@
 """Phrase collocations by relational mining over sorted occurrence relations (SETM).
 
-The relation of length k holds ``(position, phrase)`` of every occurrence, sorted by position.
-Positions are counted within a block of whole texts and jump at the end of a piece, so equal
-pieces and adjacent positions are one comparison. A length is extended in one pass:
-
-1. semi-join: occurrences of phrases that are not frequent leave the relation,
-2. merge-join of the sorted relation with itself at the next position gives the longer phrases,
-3. group-count: partial counts of each task are added up by Spark.
-
-Each relation is written to the shared folder and read by the next pass. It never moves between
-tasks, since a piece lies in one block; only counts are exchanged, summed before they are.
-The semi-join reads a bitmap of the frequent phrases, sized by their number. What passes it by
-chance costs one more count and no more: a longer phrase is never more frequent than its parts.
-Phrases are told apart by 64-bit hashes.
+The relation of length k holds ``(position, phrase)`` of every occurrence of a frequent phrase, sorted
+by position. Positions are counted within a block of whole texts and jump at the end of a piece, so
+equal pieces and adjacent positions are one comparison. A length is extended in two passes:
+
+1. merge-join of the sorted relation with itself at the next position and group-count: partial
+   counts of each task are added up by Spark, which leaves the frequent longer phrases,
+2. the same merge-join, semi-joined with these: the next relation, written to the shared folder.
+
+A relation never moves between tasks, since a piece lies in one block; only counts are exchanged,
+summed before they are. The semi-join reads a bitmap of the frequent phrases, sized by their number.
+What passes it by chance costs some counts and no more: a longer phrase is never more frequent than
+its parts, and the phrases that are returned are joined exactly. Phrases are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -42,8 +41,9 @@ SALTS = 64
 
 _LEFT, _RIGHT, _LANG = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0x8EBC6AF09C88C6E3)
 
-WORDS = "pos BINARY, gram BINARY, word STRING, lang STRING, id BIGINT, n BIGINT"
-LONGER = "pos BINARY, gram BINARY, id BIGINT, first BIGINT, rest BIGINT, n BIGINT"
+COUNTED = "id BIGINT, n BIGINT"
+WORDS = "pos BINARY, gram BINARY, id BIGINT, word STRING, lang STRING, n BIGINT"
+LONGER = "pos BINARY, gram BINARY, id BIGINT, first BIGINT, rest BIGINT"
 
 
 def _packed(pos: np.ndarray) -> bytes:
@@ -54,102 +54,170 @@ def _unpacked(blob: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(blob, dtype=np.int32), dtype=np.int64)
 
 
-def word_occurrences(docs: DataFrame) -> DataFrame:
-    """The relation of single words in blocks, and the words of each block with their counts."""
-    schema = pa.schema([("pos", pa.binary()), ("gram", pa.binary()), ("word", pa.string()), ("lang", pa.string()), ("id", pa.int64()), ("n", pa.int64())])
+class Bitmap:
+    """Which phrases are frequent, by hash slot."""
 
-    def split(batches):
-        for batch in batches:
-            for low, high in batches_of(batch.column(1)):
-                langs, texts = batch.column(0).slice(low, high - low), batch.column(1).slice(low, high - low)
-                data, offsets = bytes_of(texts)
-                starts, ends, first = word_spans(data, offsets, WORD_BYTES)
-                if not len(starts):
-                    continue
-                row = np.searchsorted(first, np.arange(len(starts)), side="right") - 1
-                lang_data, lang_at = bytes_of(langs)
-                lang_ids = span_hashes(lang_data, lang_at[:-1], lang_at[1:])
-                ids = mix(span_hashes(data, starts, ends, LOWER) + lang_ids[row] * _LANG).view(np.int64)
-                ended = np.cumsum(END_BYTES[data])[starts]
-                apart = np.ones(len(starts), dtype=np.int64)
-                apart[1:] += (ended[1:] != ended[:-1]) | (row[1:] != row[:-1])
-                found, at, n = np.unique(ids, return_index=True, return_counts=True)
-                lowered = LOWER[data].tobytes()
-                words = pa.array([lowered[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist())], pa.binary()).cast(pa.string())
-                k = len(found)
-                yield pa.RecordBatch.from_arrays(
-                    [binary([_packed(np.cumsum(apart))]), binary([ids.tobytes()]), pa.nulls(1, pa.string()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())],
-                    schema=schema,
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), words, langs.take(pa.array(row[at])), pa.array(found), pa.array(n)], schema=schema
-                )
+    def __init__(self, blob: bytes):
+        self.bits = np.frombuffer(blob, dtype=np.uint8)
 
-    return docs.select("lang", "text").mapInArrow(split, WORDS)
+    def has(self, ids: np.ndarray) -> np.ndarray:
+        slot = ids & (8 * len(self.bits) - 1)
+        return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
 class Counts:
-    """Partial counts of phrases with their first and their remaining part."""
+    """Partial counts of a task, handed on when there are too many."""
 
     def __init__(self):
         self.parts, self.size = [], 0
 
-    def add(self, phrases: np.ndarray, first: np.ndarray, rest: np.ndarray) -> None:
-        found, at, n = np.unique(phrases, return_index=True, return_counts=True)
-        self.parts.append((found, first[at], rest[at], n))
+    def add(self, ids: np.ndarray):
+        found, n = np.unique(ids, return_counts=True)
+        self.parts.append((found, n))
         self.size += len(found)
         if self.size > MOST_COUNTS:
-            self._merge()
+            found, n = self._merged()
+            self.parts, self.size = [(found, n)], len(found)
+            if self.size > MOST_COUNTS // 2:
+                yield from self.rest()
 
-    def _merge(self) -> None:
-        found, first, rest, n = (np.concatenate(column) for column in zip(*self.parts))
-        whole, at, where = np.unique(found, return_index=True, return_inverse=True)
-        total = np.bincount(where, weights=n, minlength=len(whole)).astype(np.int64)
-        self.parts, self.size = [(whole, first[at], rest[at], total)], len(whole)
+    def _merged(self):
+        found, n = (np.concatenate(column) for column in zip(*self.parts))
+        whole, where = np.unique(found, return_inverse=True)
+        return whole, np.bincount(where, weights=n, minlength=len(whole)).astype(np.int64)
 
-    def take(self, least: int = 0):
-        """The counts as arrays, if there are more than ``least``."""
-        if self.size > least:
-            self._merge()
-            (found, first, rest, n), self.parts, self.size = self.parts[0], [], 0
-            yield found, first, rest, n
+    def rest(self):
+        if self.parts:
+            found, n = self._merged()
+            self.parts, self.size = [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["id", "n"])
 
 
-def longer_occurrences(relation: DataFrame, frequent: bytes, keep: bool) -> DataFrame:
-    """Semi-join, merge-join and partial counts: the next relation in blocks, and its counts."""
-    schema = pa.schema([("pos", pa.binary()), ("gram", pa.binary()), ("id", pa.int64()), ("first", pa.int64()), ("rest", pa.int64()), ("n", pa.int64())])
+class Once:
+    """Tells the ids that a task hasn't shown yet; it may forget some, so that they are shown again."""
 
-    def counted(columns):
-        k = len(columns[0])
-        return pa.RecordBatch.from_arrays([pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), *map(pa.array, columns)], schema=schema)
+    def __init__(self):
+        self.shown = np.zeros(0, dtype=np.int64)
 
-    def extend(batches):
-        bits, counts = np.frombuffer(frequent, dtype=np.uint8), Counts()
-        for batch in batches:
-            for pos, gram in zip(batch.column(0), batch.column(1)):
-                pos, gram = _unpacked(pos.as_py()), np.frombuffer(gram.as_py(), dtype=np.int64)
-                slot = gram & (8 * len(bits) - 1)
-                kept = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-                pos, gram = pos[kept], gram[kept]
-                next_to = np.flatnonzero(pos[1:] == pos[:-1] + 1)
-                if not len(next_to):
-                    continue
+    def new(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The new ids and where each stands first."""
+        found, at = np.unique(ids, return_index=True)
+        fresh = ~np.isin(found, self.shown, assume_unique=True)
+        if len(self.shown) > MOST_COUNTS:
+            self.shown = self.shown[:0]
+        self.shown = np.union1d(self.shown, found[fresh])
+        return found[fresh], at[fresh]
+
+
+class Words:
+    """The words of a block of texts: ids, which also tell languages apart, and positions."""
+
+    def __init__(self, langs: pa.Array, texts: pa.Array):
+        self.data, offsets = bytes_of(texts)
+        self.starts, self.ends, first = word_spans(self.data, offsets, WORD_BYTES)
+        self.sizes = np.diff(first)
+        self.row = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        lang_data, lang_at = bytes_of(langs)
+        lang_ids = span_hashes(lang_data, lang_at[:-1], lang_at[1:])
+        self.ids = mix(span_hashes(self.data, self.starts, self.ends, LOWER) + lang_ids[self.row] * _LANG).view(np.int64)
+
+    def positions(self) -> np.ndarray:
+        ended = np.cumsum(END_BYTES[self.data])[self.starts]
+        apart = np.ones(len(self.starts), dtype=np.int64)
+        apart[1:] += (ended[1:] != ended[:-1]) | (self.row[1:] != self.row[:-1])
+        return np.cumsum(apart)
+
+    def text(self, at: np.ndarray) -> pa.Array:
+        lowered = [LOWER[self.data[s:e]].tobytes() for s, e in zip(self.starts[at].tolist(), self.ends[at].tolist())]
+        return pa.array(lowered, pa.binary()).cast(pa.string())
+
+
+def _blocks(batches):
+    """``(langs, words)`` of blocks of whole texts."""
+    for batch in batches:
+        for low, high in batches_of(batch.column(1)):
+            langs = batch.column(0).slice(low, high - low)
+            words = Words(langs, batch.column(1).slice(low, high - low))
+            if len(words.ids):
+                yield langs, words
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """Partial counts ``(id, n)`` of words."""
+
+    def count(batches):
+        counts = Counts()
+        for _, words in _blocks(batches):
+            yield from counts.add(words.ids)
+        yield from counts.rest()
+
+    return docs.select("lang", "text").mapInArrow(count, COUNTED)
+
+
+def _batch(schema: pa.Schema, size: int, /, **columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(size, f.type)) for f in schema], schema=schema)
+
+
+def word_relation(docs: DataFrame, frequent: bytes) -> DataFrame:
+    """The relation of frequent words in blocks, the text of each such word, and words per language."""
+    schema = pa.schema([("pos", pa.binary()), ("gram", pa.binary()), ("id", pa.int64()), ("word", pa.string()), ("lang", pa.string()), ("n", pa.int64())])
+
+    def split(batches):
+        bitmap, once = Bitmap(frequent), Once()
+        for langs, words in _blocks(batches):
+            yield _batch(schema, len(langs), lang=langs, n=pa.array(words.sizes, pa.int64()))
+            kept = np.flatnonzero(bitmap.has(words.ids))
+            ids, at = once.new(words.ids[kept])
+            yield _batch(schema, len(ids), id=pa.array(ids), word=words.text(kept[at]), lang=langs.take(pa.array(words.row[kept[at]])))
+            yield _batch(schema, 1, pos=binary([_packed(words.positions()[kept])]), gram=binary([words.ids[kept].tobytes()]))
+
+    return docs.select("lang", "text").mapInArrow(split, WORDS)
+
+
+def _joined(batches):
+    """Merge-join of each block with itself: ``(positions, longer phrases, first part, remaining part)``."""
+    for batch in batches:
+        for pos, gram in zip(batch.column(0), batch.column(1)):
+            pos, gram = _unpacked(pos.as_py()), np.frombuffer(gram.as_py(), dtype=np.int64)
+            next_to = np.flatnonzero(pos[1:] == pos[:-1] + 1)
+            if len(next_to):
                 first, rest = gram[next_to], gram[next_to + 1]
-                phrases = mix(first.view(np.uint64) * _LEFT + mix(rest.view(np.uint64)) * _RIGHT).view(np.int64)
-                counts.add(phrases, first, rest)
-                if keep:
-                    none = [pa.nulls(1, pa.int64())] * 4
-                    yield pa.RecordBatch.from_arrays([binary([_packed(pos[next_to])]), binary([phrases.tobytes()]), *none], schema=schema)
-                yield from map(counted, counts.take(MOST_COUNTS))
-        yield from map(counted, counts.take())
+                yield pos[next_to], mix(first.view(np.uint64) * _LEFT + mix(rest.view(np.uint64)) * _RIGHT).view(np.int64), first, rest
+
+
+def longer_counts(relation: DataFrame) -> DataFrame:
+    """Partial counts ``(id, n)`` of the phrases that are longer by one word."""
+
+    def count(batches):
+        counts = Counts()
+        for _, phrases, _, _ in _joined(batches):
+            yield from counts.add(phrases)
+        yield from counts.rest()
+
+    return relation.where("pos IS NOT NULL").select("pos", "gram").mapInArrow(count, COUNTED)
+
+
+def longer_relation(relation: DataFrame, frequent: bytes) -> DataFrame:
+    """The next relation in blocks, and the two parts ``(id, first, rest)`` of each phrase in it."""
+    schema = pa.schema([("pos", pa.binary()), ("gram", pa.binary()), ("id", pa.int64()), ("first", pa.int64()), ("rest", pa.int64())])
+
+    def extend(batches):
+        bitmap, once = Bitmap(frequent), Once()
+        for pos, phrases, first, rest in _joined(batches):
+            kept = np.flatnonzero(bitmap.has(phrases))
+            if not len(kept):
+                continue
+            ids, at = once.new(phrases[kept])
+            yield _batch(schema, len(ids), id=pa.array(ids), first=pa.array(first[kept[at]]), rest=pa.array(rest[kept[at]]))
+            yield _batch(schema, 1, pos=binary([_packed(pos[kept])]), gram=binary([phrases[kept].tobytes()]))
 
     return relation.where("pos IS NOT NULL").select("pos", "gram").mapInArrow(extend, LONGER)
 
 
-def frequent_bitmap(phrases: DataFrame, count: int) -> bytes:
+def frequent_bitmap(phrases: DataFrame) -> bytes:
     """A bit for every hash slot of a phrase ``id``; at most MOST_SLOTS bits, put together from blocks."""
-    slots = LEAST_SLOTS
-    while slots < min(SLOTS_PER_PHRASE * count, MOST_SLOTS):
+    slots, wanted = LEAST_SLOTS, min(SLOTS_PER_PHRASE * phrases.count(), MOST_SLOTS)
+    while slots < wanted:
         slots *= 2
 
     def block(key, rows):
@@ -175,22 +243,25 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     is ``und``; every row counts, equal ones too. No texts give no phrases.
     """
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    relation = stored(word_occurrences(docs), "words")
-    words = relation.where("id IS NOT NULL")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    found = words.groupBy("id").agg(F.min("lang").alias("lang"), F.min("word").alias("phrase"), F.sum("n").alias("a")).where(F.col("a") >= least)
-    known = stored(found.select("id", "lang", "phrase", F.col("phrase").alias("last"), "a", F.array("a").alias("heads"), F.array("a").alias("tails")), "phrases")
+
+    def frequent(partial):
+        return stored(partial.groupBy("id").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "frequent")
+
+    counted = frequent(word_counts(docs))
+    relation = stored(word_relation(docs, frequent_bitmap(counted)), "words")
+    totals = relation.where("n IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+    words = relation.where("id IS NOT NULL").join(counted, "id").groupBy("id", "a").agg(F.min("lang").alias("lang"), F.min("word").alias("phrase"))
+    known = stored(words.select("id", "lang", "phrase", F.col("phrase").alias("last"), "a", F.array("a").alias("heads"), F.array("a").alias("tails")), "phrases")
     levels = [known]
     for length in range(2, longest + 1):
-        count = known.count()
-        if not count:
+        counted = frequent(longer_counts(relation))
+        if counted.isEmpty():
             break
-        relation = stored(longer_occurrences(relation, frequent_bitmap(known, count), length < longest), f"phrases{length}")
-        counted = relation.where("id IS NOT NULL").groupBy("id").agg(F.min("first").alias("first"), F.min("rest").alias("rest"), F.sum("n").alias("a"))
-        counted = counted.where(F.col("a") >= least)
+        relation = stored(longer_relation(relation, frequent_bitmap(counted)), f"phrases{length}")
+        parts = relation.where("id IS NOT NULL").join(counted, "id").select("id", "first", "rest", "a").dropDuplicates(["id"])
         head = known.select(F.col("id").alias("first"), "lang", F.col("phrase").alias("head"), "heads")
         tail = known.select(F.col("id").alias("rest"), "last", "tails")
-        whole = counted.join(head, "first").join(tail, "rest")
+        whole = parts.join(head, "first").join(tail, "rest")
         known = stored(
             whole.select(
                 "id", "lang", F.concat_ws(" ", "head", "last").alias("phrase"), "last", "a", F.concat("heads", F.array("a")).alias("heads"),

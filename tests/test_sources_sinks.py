@@ -1,5 +1,6 @@
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
 import pytest
@@ -9,6 +10,7 @@ from helpers import as_rows, values
 from tidegauge.operators import counts
 from tidegauge.session import build_session, prepare, shared_dir
 from tidegauge.sinks import files, store
+from tidegauge.sinks.folders import Folders
 from tidegauge.sources import logs
 
 
@@ -127,7 +129,91 @@ def test_store_keeps_the_newest_value(spark, tmp_path):
     store.compact(spark, path, "experimental_results", "realtime_index_count", period)
     after = store.read_store(spark, path)
     assert as_rows(store.current(after), "business", "key_id", "timestamp", "value") == before
-    assert after.where(f"key_id = 'realtime_index_count' AND period = {period}").select("batch").distinct().count() == 1
+    # The newest batch stays as it is, and all before it is one snapshot.
+    assert as_rows(after.where(f"key_id = 'realtime_index_count' AND period = {period}").select("batch").distinct(), "batch") == [(-1,), (1,)]
+
+
+def numbers(spark, *pairs):
+    return spark.createDataFrame([("b", "k/1", t, v) for t, v in pairs], "business STRING, key_id STRING, timestamp BIGINT, value STRING")
+
+
+def stored_values(spark, path):
+    return as_rows(store.current(store.read_store(spark, path)), "timestamp", "value")
+
+
+def test_a_batch_repeated_after_compaction_loses_nothing(spark, tmp_path):
+    path = str(tmp_path / "store")
+    store.put(numbers(spark, (1, "a"), (2, "b"), (4, "d")), path, 0)
+    store.put(numbers(spark, (3, "c"), (2, "B")), path, 1)
+    expected = [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+    for _ in range(2):
+        store.compact(spark, path, "b", "k/1", 0)
+        assert stored_values(spark, path) == expected
+        store.put(numbers(spark, (3, "c"), (2, "B")), path, 1)
+        assert stored_values(spark, path) == expected
+    store.put(numbers(spark, (4, "D")), path, 2)
+    store.put(numbers(spark, (1, "A")), path, 3)
+    store.compact(spark, path, "b", "k/1", 0)
+    expected = [(1, "A"), (2, "B"), (3, "c"), (4, "D")]
+    assert stored_values(spark, path) == expected
+    # Snapshot of batches 0 to 2, and the newest batch; a late repeat of an old one changes nothing either.
+    assert [r[0] for r in as_rows(store.read_store(spark, path).select("batch").distinct(), "batch")] == [-3, 3]
+    store.put(numbers(spark, (3, "c"), (2, "B")), path, 1)
+    assert stored_values(spark, path) == expected
+
+
+def test_compaction_that_stopped_halfway(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    for i in range(4):
+        store.put(numbers(spark, (1, f"v{i}"), (i + 10, "x")), path, i)
+    expected = stored_values(spark, path)
+    monkeypatch.setattr(Folders, "drop", lambda self, name: None)
+    store.compact(spark, path, "b", "k/1", 0)
+    assert stored_values(spark, path) == expected
+    monkeypatch.undo()
+    store.compact(spark, path, "b", "k/1", 0)
+    assert stored_values(spark, path) == expected
+    assert [r[0] for r in as_rows(store.read_store(spark, path).select("batch").distinct(), "batch")] == [-3, 3]
+
+
+def test_an_unfinished_batch_is_not_compacted(spark, tmp_path):
+    path = str(tmp_path / "store")
+    for i in range(4):
+        store.put(numbers(spark, (1, f"v{i}")), path, i)
+    Folders(spark, path).drop("_log/1.done")
+    store.compact(spark, path, "b", "k/1", 0)
+    assert [r[0] for r in as_rows(store.read_store(spark, path).select("batch").distinct(), "batch")] == [-1, 1, 2, 3]
+    assert stored_values(spark, path) == [(1, "v3")]
+
+
+def test_one_key_is_read_without_listing_the_store(spark, tmp_path):
+    path = str(tmp_path / "store")
+    store.put(numbers(spark, (1, "a"), (store.PERIOD_SECONDS + 1, "b")), path, 0)
+    got = store.get(spark, path, "b", "k/1", 1)
+    assert {f.split("/store/")[1].rsplit("/", 2)[0] for f in got.inputFiles()} == {"business=b/key_id=k%252F1/period=0"}  # escaped once more, as a URL
+    # A folder that any listing of the whole store stumbles over.
+    os.makedirs(tmp_path / "store" / "business=b" / "other=1" / "x=2")
+    (tmp_path / "store" / "business=b" / "other=1" / "x=2" / "f.parquet").write_text("no table")
+    with pytest.raises(Exception):
+        store.read_store(spark, path).count()
+    assert store.get(spark, path, "b", "k/1", 1).first()["value"] == "a"
+    assert store.get(spark, path, "b", "k/1", store.PERIOD_SECONDS + 1).first()["value"] == "b"
+
+
+def test_writers_that_share_a_store(spark, tmp_path):
+    path = str(tmp_path / "store")
+    with ThreadPoolExecutor(4) as pool:
+        taken = list(pool.map(lambda i: store.batch_number(spark, path, f"w{i}"), range(12)))
+    assert sorted(taken) == list(range(12))
+    assert [store.batch_number(spark, path, f"w{i}") for i in range(12)] == taken
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: store.put_one(spark, path, f"one{i}", "b", "k", i, f"v{i}"), range(6)))
+    store.put_one(spark, path, "one3", "b", "k", 3, "v3")
+    assert stored_values(spark, path) == [(i, f"v{i}") for i in range(6)]
+    first = store.commit(numbers(spark, (7, "first")), path, "s:0")
+    assert store.commit(numbers(spark, (7, "second")), path, "t:0") == first + 1
+    store.commit(numbers(spark, (7, "first")), path, "s:0")
+    assert (7, "second") in stored_values(spark, path)
 
 
 def test_store_time_falls_back(spark):

@@ -20,6 +20,29 @@ def parse_ms(text: Column | str) -> Column:
     return F.unix_millis(F.try_to_timestamp(F.substring(as_column(text), 1, 19), F.lit(LOG_TIME)))
 
 
+# Fixed value: six numbers apart as in a log time, whatever follows.
+LOOSE_TIME = r"^(\d+)-(\d+)-(\d+) +(\d+):(\d+):(\d+)"
+
+
+def parse_ms_lenient(text: Column | str) -> Column:
+    """Epoch ms of a text that starts with a log time whose parts may have any number of digits and
+    any size: month 13 is January of the next year, day 0 the last of the month before.
+
+    NULL if a part is missing, or has more digits than a calendar can hold (4 for years and months,
+    9 for the others).
+    """
+    text = as_column(text)
+    year, month, day, hour, minute, second = (
+        F.regexp_extract(text, LOOSE_TIME, i).try_cast("bigint") for i in range(1, 7)
+    )
+    months = year * 12 + month - 1
+    first = F.make_date(div(months, F.lit(12)).cast("int"), (F.pmod(months, F.lit(12)) + 1).cast("int"), F.lit(1))
+    days = F.unix_date(first).cast("bigint") + day - 1
+    whole = ((days * 24 + hour) * 60 + minute) * 60 + second
+    sized = text.rlike(r"^\d{1,4}-\d{1,4}-\d{1,9} +\d{1,9}:\d{1,9}:\d{1,9}(\D|$)") & (months >= 12)
+    return F.when(sized, whole * 1000)
+
+
 def format_ms(ms: Column | str) -> Column:
     """Log time of an epoch-ms value; the milliseconds are cut off."""
     return F.date_format(F.timestamp_millis(as_column(ms)), LOG_TIME)

@@ -56,18 +56,19 @@ def set_aside(measured: DataFrame, value: str = "value") -> DataFrame:
     return measured.where(to_long(field(split_blanks(value), 1)).isNull())
 
 
-def mean_delay_per_second(stamped: DataFrame, value: str = "value") -> DataFrame:
-    """Whole-number mean of ``out - in`` per second of ``out`` over ``in,out,...`` lines.
+def mean_delay_per_second(stamped: DataFrame, *by: str, value: str = "value") -> DataFrame:
+    """Whole-number mean of ``out - in`` per second of ``out`` over ``in,out,...`` lines, also split
+    ``by`` other columns.
 
     Sum and count are combined separately, so the result does not depend on how the input is
     split. Lines without two stamps are left out, see ``bad_stamps``.
     """
-    parts = compute_once(stamped.select(value), "_f", split_fields(value, ","))
+    parts = compute_once(stamped.select(*by, value), "_f", split_fields(value, ","))
     stamps = parts.select(
-        to_long(field(F.col("_f"), 0)).alias("_in"), to_long(field(F.col("_f"), 1)).alias("_out")
+        *by, to_long(field(F.col("_f"), 0)).alias("_in"), to_long(field(F.col("_f"), 1)).alias("_out")
     ).where("_in IS NOT NULL AND _out IS NOT NULL")
     key = second_key(F.col("_out").cast("string"))
-    return stamps.groupBy(key.alias("key")).agg(
+    return stamps.groupBy(*by, key.alias("key")).agg(
         whole_mean(F.col("_out") - F.col("_in")).alias("delay")
     )
 

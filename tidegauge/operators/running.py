@@ -8,6 +8,8 @@ own running aggregate the same way, one level coarser.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,18 +23,51 @@ _COMBINE = {"sum": F.sum, "max": F.max}
 BLOCK_ROWS = 1 << 20
 
 
-def id_blocks(column: str, rows: int = BLOCK_ROWS) -> list[dict[str, Column]]:
+def id_blocks(column: str, rows: int = BLOCK_ROWS, most: int | None = None) -> list[dict[str, Column]]:
     """Block levels for an order that starts with a numeric id, from coarse to fine.
 
-    Each is 1,024 times as wide as the next. The coarsest cuts the 64-bit ids into a few blocks,
-    so also with ids spread over that whole range no task gets more than their totals.
+    Each is 1,024 times as wide as the next. The coarsest cuts the ids up to ``most`` into about a
+    thousand blocks; without it, the 64-bit ids into a few, so also with ids spread over that whole range no task
+    gets more than their totals.
     """
     value, widths = F.col(column), [rows]
-    while widths[-1] < 1 << 50:
+    while widths[-1] < (1 << 50 if most is None else most >> 10):
         widths.append(widths[-1] << 10)
     return [{f"_{column}_{width}": div(value, F.lit(width))} for width in reversed(widths)]
 
 
+def sorted_blocks(column: str, rows_bits: int = 20) -> list[dict[str, Column]]:
+    """Block levels for the numbers of ``numbered_in_order``: the number of a range of the sort is in their
+    upper bits. Blocks are parts of a range, and a thousand ranges form a block of the coarser level."""
+    value = F.col(column)
+    return [{f"_{column}_far": F.shiftright(value, 43)}, {f"_{column}_near": F.shiftright(value, rows_bits)}]
+
+
+def numbered_in_order(
+    rows: DataFrame, order: list[str], path: str, expand: Callable[[DataFrame], DataFrame] | None = None, name: str = "at"
+) -> DataFrame:
+    """Rows written to ``path`` in ``order``, with a rising (not dense) number for ``id_blocks``.
+
+    Where no column alone cuts the order into small blocks, as when one conversation holds a
+    third of all words, a global sort does: its ranges are cut between any two rows. ``expand``
+    may turn a row into several, which keep their order.
+    """
+    ordered = rows.orderBy(*order)
+    numbered = (expand(ordered) if expand else ordered).withColumn(name, F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    return rows.sparkSession.read.schema(numbered.schema).parquet(path)
+
+
+def carried_on(totals: DataFrame, rows: DataFrame, key: str = "word") -> DataFrame:
+    """Running values of ``running_reduce`` over new rows, raised by the ``totals`` of all rows before them."""
+    before = totals.select(key, F.col("in_time").alias("_newest"), F.col("count").alias("_n"))
+    joined = rows.join(before, key, "left")
+    return joined.select(
+        *[c for c in rows.columns if c not in ("in_time", "count")],
+        F.greatest("in_time", "_newest").alias("in_time"), (F.col("count") + F.coalesce("_n", F.lit(0))).alias("count"),
+    )
+
+
 def running_by_key(
     rows: DataFrame,
     keys: list[str],

@@ -13,8 +13,12 @@ THROUGHPUT_TAG = "throughput_testing"
 
 
 def now_ms() -> Column:
-    """Wall clock of the query (of the micro-batch on a stream)."""
-    return F.unix_millis(F.current_timestamp())
+    """Wall clock when a row is handled; two stamps of a row taken one after the other don't run backwards.
+
+    ``current_timestamp`` would be one time for the whole (micro-)batch. Stamps that are to
+    be kept have to be written or cached: a row that is computed again is stamped again.
+    """
+    return F.expr("cast(java_method('java.lang.System', 'currentTimeMillis') as bigint)")
 
 
 def copy_lines(records: DataFrame, value: str = "value") -> DataFrame:

@@ -21,6 +21,21 @@ def with_watermark(events: DataFrame, delay_ms: int = MAX_OUT_OF_ORDER_MS) -> Da
     return events.withWatermark("ts", f"{delay_ms} milliseconds")
 
 
+def partition_watermarks(streams: list[DataFrame], delay_ms: int = MAX_OUT_OF_ORDER_MS) -> DataFrame:
+    """One stream of all log partitions, given as a stream each, whose watermark is that of the slowest.
+
+    Every partition has its own watermark, ``delay_ms`` behind its newest ``ts``; the bound for windows
+    and late rows is their minimum, which never falls. A partition that has brought no row since the
+    query was started holds every window open: only the minimum outlives a restart. It needs ``spark.sql.streaming.multipleWatermarkPolicy``
+    at ``min``, which ``session.prepare`` sets.
+    """
+    marked = [with_watermark(stream, delay_ms) for stream in streams]
+    result = marked[0]
+    for other in marked[1:]:
+        result = result.unionByName(other)
+    return result
+
+
 def with_ingestion_time(records: DataFrame) -> DataFrame:
     """Event time = time of arrival: ``ms`` and ``ts`` of the running (micro-)batch.
 
@@ -68,6 +83,42 @@ def window_indicators(counts: DataFrame, size_ms: int, closing_type: str = OTHER
     )
 
 
+def due_indicators(
+    counts: DataFrame, size_ms: int, delay_ms: int = INDICATOR_DELAY_MS, closing_type: str = OTHER
+) -> DataFrame:
+    """``window_indicators`` that come ``delay_ms`` of event time after their window has closed.
+
+    The maps are built over windows that are longer by the delay and start with every plain window, so
+    the watermark closes them that much later. Of the longer windows that hold a count, only
+    the one with the count's own start is kept.
+    """
+    timed = counts.select(
+        "start_time", "type", "count",
+        F.window(F.window_time("window"), f"{size_ms + delay_ms} milliseconds", f"{size_ms} milliseconds").alias("due"),
+    ).where(F.unix_millis("due.start") == F.col("start_time"))
+    entries = F.array_sort(F.collect_list(F.struct("type", "count")))
+    grouped = timed.groupBy("due").agg(
+        F.map_from_entries(entries).alias("indexs"), F.max(F.col("type") == closing_type).alias("_closed")
+    )
+    start = F.unix_millis("due.start")
+    return grouped.where("_closed").select(
+        start.alias("start_time"), (start + size_ms - 1).alias("end_time"), "indexs"
+    )
+
+
+def merge_partial_maps(maps: DataFrame, keys: list[str], order: list[str], indicators: str = "indexs") -> DataFrame:
+    """One map for each ``keys`` from any number of partial maps; of a type that several have, the
+    last in ``order`` counts.
+
+    Entries are merged one by one, so the maps of a key are combined before the exchange and in any
+    grouping. Keys that have empty maps only get an empty map.
+    """
+    entries = maps.select(*keys, *order, F.explode_outer(indicators).alias("_type", "_n"))
+    newest = entries.groupBy(*keys, "_type").agg(F.max_by("_n", F.struct(*order)).alias("_n"))
+    listed = F.array_sort(F.collect_list(F.when(F.col("_type").isNotNull(), F.struct("_type", "_n"))))
+    return newest.groupBy(*keys).agg(F.map_from_entries(listed).alias(indicators))
+
+
 def merge_indicators(left: Column | str, right: Column | str) -> Column:
     """Union of two indicator maps with sorted keys; the right value wins."""
     merged = F.map_zip_with(

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.rows import compute_once
 from tidegauge.functions.text import words
-from tidegauge.functions.timeconv import LOG_TIME
-from tidegauge.operators.running import BLOCK_ROWS, id_blocks, running_by_key
+from tidegauge.functions.timeconv import LOG_TIME, div
+from tidegauge.operators.running import BLOCK_ROWS, id_blocks, numbered_in_order, running_by_key
 from tidegauge.session import shared_dir
+from tidegauge.sinks.folders import Folders
 from tidegauge.sources.logs import table_stream
 
 
@@ -173,7 +174,54 @@ def arrival_log(e: DataFrame) -> DataFrame:
 
 
 def spoken_words(spark: SparkSession, folder: str) -> DataFrame:
-    """``(conv_id, turn, pos, word)``: every word of the conversations in order."""
-    return table(spark, folder, "conversations").select(
-        "conv_id", "turn", F.posexplode(words("text")).alias("pos", "word")
+    """``(conv_id, turn, pos, word, at)``: every word of the conversations, numbered in order."""
+    def expand(turns: DataFrame) -> DataFrame:
+        return turns.select("conv_id", "turn", F.posexplode(words("text")).alias("pos", "word"))
+
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "text")
+    return numbered_in_order(turns, ["conv_id", "turn"], shared_dir(spark, "spoken"), expand)
+
+
+def late_words(e: DataFrame) -> DataFrame:
+    """``(event_id, arrival, value)``: word lines that arrive up to days after their time."""
+    lines = word_lines(e).select("event_id", "value")
+    return lines.join(e.select("event_id", (F.col("ms") + F.col("k") * 3_600_000).alias("arrival")), "event_id")
+
+
+# Streams that need several micro-batches get a table in so many slices, one after the other.
+SLICES = 4
+
+
+def with_slice(rows: DataFrame, by: str) -> DataFrame:
+    """Add ``slice``, 0 to SLICES - 1: equal widths of the whole number ``by``."""
+    low, high = rows.agg(F.min(by), F.max(by)).first()
+    width = 1 if low is None else high - low + 1
+    return rows.withColumn("slice", div((F.col(by) - F.lit(low)) * SLICES, F.lit(width)))
+
+
+def add_slice(sliced: DataFrame, number: int, path: str) -> None:
+    """Append one slice to the files of ``path``."""
+    sliced.where(F.col("slice") == number).drop("slice").write.mode("append").parquet(path)
+
+
+def add_slice_whole(sliced: DataFrame, number: int, path: str, column: str, values: list[int]) -> None:
+    """Add one slice to ``<path>/in/<column>=<value>`` while a stream reads it: each folder at once."""
+    fresh = f"new{number}"
+    sliced.where(F.col("slice") == number).drop("slice").write.partitionBy(column).parquet(f"{path}/{fresh}")
+    folders = Folders(sliced.sparkSession, path)
+    for name in (f"{column}={value}" for value in values):
+        if folders.exists(f"{fresh}/{name}"):
+            folders.move(f"{fresh}/{name}", f"in/{name}/slice={number}")
+
+
+def loose_times(e: DataFrame) -> DataFrame:
+    """``(event_id, value)``: log times with parts out of range, of odd width, or missing."""
+    k, user = F.col("k"), F.col("user_id")
+    padded = F.date_format("at", LOG_TIME)
+    odd = F.concat(
+        F.year("at"), F.lit("-"), k % 30, F.lit("-"), user % 90, F.lit(" "), k, F.lit(":"), user % 150, F.lit(":"), k * 7, F.lit(" rest"),
+    )
+    value = _by(
+        k % 5, {0: padded, 1: F.concat(padded, F.lit("\tmore")), 2: F.substring(padded, 1, 13), 3: F.concat(F.lit("x"), padded)}, odd
     )
+    return compute_once(e, "value", value).select("event_id", "value")

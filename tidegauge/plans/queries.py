@@ -16,12 +16,13 @@ from tidegauge.functions.codec import (
 )
 from tidegauge.functions.hashing import char_sum, json_text
 from tidegauge.functions.text import reverse_words
-from tidegauge.functions.timeconv import block_floor, div, ms_to_seconds, window_floor
+from tidegauge.functions.timeconv import block_floor, div, ms_to_seconds, parse_ms_lenient, window_floor
 from tidegauge.operators import classify as cl
 from tidegauge.operators import counts, offsets, partition, route, running, stamp, windows
 from tidegauge.plans import inputs
 from tidegauge.session import prepare, shared_dir
 from tidegauge.sinks import files, store
+from tidegauge.sources import logs
 
 WINDOW_MS = 600_000
 SHORT_WINDOW_MS = 10_000
@@ -149,6 +150,19 @@ def late_data_audit(spark, folder):
     return windows.late_rows(log, "part", ["arrival", "event_id"], blocks, WINDOW_MS)
 
 
+@query
+def indicator_partial_maps(spark, folder):
+    """Maps of every log partition merged; of a type that several have, the last partition counts."""
+    lines = inputs.interact_log(inputs.events(spark, folder)).withColumn("part", F.col("user_id") % 4)
+    typed = cl.classify(lines, DIGIT).where("ms IS NOT NULL")
+    start = window_floor("ms", WINDOW_MS).alias("start_time")
+    found = typed.groupBy("part", start, "type").agg(F.count(F.lit(1)).alias("count"))
+    maps = found.groupBy("part", "start_time").agg(F.map_from_entries(F.collect_list(F.struct("type", "count"))).alias("indexs"))
+    merged = windows.merge_partial_maps(maps, ["start_time"], ["part"])
+    text = indicator_json("start_time", F.col("start_time") + WINDOW_MS - 1, "indexs")
+    return merged.select("start_time", text.alias("value"))
+
+
 # -- words --------------------------------------------------------------------------------
 
 
@@ -166,12 +180,7 @@ def record_line_count(spark, folder):
 @query
 def storm_word_running(spark, folder):
     words = inputs.spoken_words(spark, folder)
-    # Words of 64 conversations fit one task; a conversation is at most some thousand turns.
-    blocks = [
-        {"_far": div(F.col("conv_id"), F.lit(65_536))},
-        {"_near": div(F.col("conv_id"), F.lit(64))},
-    ]
-    return running.running_count(words, ["conv_id", "turn", "pos"], blocks)
+    return running.running_count(words, ["at"], running.sorted_blocks("at")).drop("at")
 
 
 @query
@@ -267,6 +276,22 @@ def bucketed_files(spark, folder):
     return back.groupBy("tm_num", "ts_num").agg(F.count("value").alias("n"))
 
 
+@query
+def lenient_times(spark, folder):
+    times = inputs.loose_times(inputs.events(spark, folder))
+    return times.select("event_id", parse_ms_lenient("value").alias("ms"))
+
+
+@query
+def keyed_text_files(spark, folder):
+    """Word counts written as sorted ``key<TAB>value`` files and read back as lines."""
+    path = shared_dir(spark, "keyed")
+    events = inputs.word_lines(inputs.events(spark, folder))
+    found = running.csv_words(events, []).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    files.write_keyed_text(found.where("word <> ''"), path, "word", "count")
+    return counts.sum_by_key(logs.text_lines(spark, path))
+
+
 # -- measurements -------------------------------------------------------------------------
 
 
@@ -415,3 +440,47 @@ def store_lookup(spark, folder):
         ms_to_seconds(window_floor("ms", WINDOW_MS)).alias("timestamp"),
     ).distinct()
     return store.get_many(store.read_store(spark, path), wanted)
+
+
+@query
+def store_one_key(spark, folder):
+    """The newest window's map, looked up alone in a store of three batches."""
+    path = shared_dir(spark, "store")
+    rows = _stored_maps(spark, folder)
+    for batch in range(3):
+        store.put(rows.where(F.col("n") % 3 >= batch).drop("n"), path, batch)
+    newest = rows.agg(F.max("timestamp")).first()[0]
+    return store.get(spark, path, store.INDICATOR_BUSINESS, store.INDICATOR_KEY, newest or 0)
+
+
+@query
+def store_compacted(spark, folder):
+    """Two writers, one of which repeats its last batch, between and after compactions."""
+    path = shared_dir(spark, "store")
+    rows = _stored_maps(spark, folder)
+
+    def write(token, part, mark):
+        value = F.concat(F.lit(mark), "value").alias("value")
+        store.commit(part.select("business", "key_id", "timestamp", value), path, token)
+
+    def compact():
+        for period in store.periods(spark, path, store.INDICATOR_BUSINESS, store.INDICATOR_KEY):
+            store.compact(spark, path, store.INDICATOR_BUSINESS, store.INDICATOR_KEY, period)
+
+    write("a:0", rows, "a0")
+    write("b:0", rows.where("n % 2 = 0"), "b0")
+    compact()
+    write("a:1", rows.where("n % 3 = 0"), "a1")
+    write("b:1", rows.where("n % 5 = 0"), "b1")
+    compact()
+    write("b:1", rows.where("n % 5 = 0"), "b1")
+    return store.current(store.read_store(spark, path))
+
+
+def _stored_maps(spark, folder):
+    """Indicator maps as store rows, with the number ``n`` of their window; written once."""
+    path = shared_dir(spark, "maps")
+    text = indicator_json("start_time", "end_time", "indexs")
+    rows = store.keyed_rows(_indicators(spark, folder).select(text.alias("value")))
+    rows.withColumn("n", div(F.col("timestamp"), F.lit(WINDOW_MS // 1000))).write.parquet(path)
+    return spark.read.parquet(path)

@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions.codec import indicator_json
-from tidegauge.operators import running, stamp
+from tidegauge.functions.timeconv import event_time
+from tidegauge.operators import counts, running, stamp, windows
 from tidegauge.plans import inputs
 from tidegauge.plans.queries import DIGIT, SHORT_WINDOW_MS, WINDOW_MS, query
 from tidegauge.session import shared_dir
 from tidegauge.sinks import store
+from tidegauge.sources.logs import partition_streams, table_stream
 from tidegauge.streaming import jobs
-from tidegauge.streaming.running import running_totals
-from tidegauge.streaming.timers import due_indicators
+
+
+PARTS = [0, 1, 2, 3]
 
 
 def _written(spark: SparkSession, stream: DataFrame, name: str, folders=()) -> DataFrame:
@@ -38,8 +41,8 @@ def word_window_closed(spark, folder):
 
 @query
 def stream_type_counts(spark, folder):
-    counts = jobs.stream_type_counts(_interactions(spark, folder), WINDOW_MS, DIGIT)
-    return _written(spark, counts.drop("window"), "types")
+    counted = jobs.stream_type_counts(_interactions(spark, folder), WINDOW_MS, DIGIT)
+    return _written(spark, counted.drop("window"), "types")
 
 
 @query
@@ -51,9 +54,9 @@ def stream_indicator_map(spark, folder):
 
 @query
 def stream_indicator_due(spark, folder):
-    counts = jobs.stream_type_counts(_interactions(spark, folder), WINDOW_MS, DIGIT)
+    counted = jobs.stream_type_counts(_interactions(spark, folder), WINDOW_MS, DIGIT)
     text = indicator_json("start_time", "end_time", "indexs")
-    due = due_indicators(counts, WINDOW_MS).select("start_time", text.alias("value"))
+    due = windows.due_indicators(counted, WINDOW_MS).select("start_time", text.alias("value"))
     return _written(spark, due, "due")
 
 
@@ -94,10 +97,77 @@ def stream_word_totals(spark, folder):
     return newest.select("word", "_v.*")
 
 
+def _in_slices(spark, rows, by, name, job):
+    """Feed a table to a stream in slices of ``by``, and start the stream again for each.
+
+    ``job(path, base, checkpoint)`` starts it; every start but the first resumes from the checkpoint.
+    Returns the folder that the job writes to.
+    """
+    path = shared_dir(spark, name)
+    sliced = inputs.with_slice(rows, by)
+    for number in range(inputs.SLICES):
+        inputs.add_slice(sliced, number, f"{path}/in")
+        job(f"{path}/in", f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    return f"{path}/out"
+
+
 @query
 def stream_word_running(spark, folder):
-    lines = inputs.event_stream(spark, folder).select(
-        F.col("ms").alias("in_time"), F.concat_ws(",", "event_type", "event_type").alias("value")
-    )
-    words = running.csv_words(lines, ["in_time"])
-    return _written(spark, running_totals(words).select("word", "count"), "running")
+    """Running reduce of a stream that stops and resumes, one row for every word."""
+    words = running.csv_words(inputs.word_lines(inputs.events(spark, folder)), ["event_id", "in_time"])
+    blocks = running.id_blocks("event_id", most=inputs.table(spark, folder, "events").agg(F.max("event_id")).first()[0] or 0)
+
+    def job(path, base, checkpoint):
+        stream = table_stream(spark, path, schema=words.schema)
+        return jobs.running_words(stream, ["event_id", "pos"], blocks, base, checkpoint)
+
+    base = _in_slices(spark, words, "event_id", "running", job)
+    schema = "event_id BIGINT, pos INT, word STRING, in_time BIGINT, count BIGINT"
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{base}/rows")
+
+
+@query
+def stream_late_words(spark, folder):
+    """Words per window of rows that arrive out of order; the stream is stopped and resumed between."""
+    log = inputs.late_words(inputs.events(spark, folder))
+
+    def job(path, base, checkpoint):
+        lines = table_stream(spark, path, schema=log.schema)
+        return jobs.append_files(jobs.stream_word_windows(lines, SHORT_WINDOW_MS), base, checkpoint)
+
+    base = _in_slices(spark, log, "arrival", "late", job)
+    schema = "window_start BIGINT, word STRING, start_time BIGINT, end_time BIGINT, count BIGINT"
+    return spark.read.schema(schema).parquet(base)
+
+
+@query
+def stream_slow_partition(spark, folder):
+    """Types per window of four log partitions, the last of which stops halfway and holds windows open."""
+    e = inputs.events(spark, folder).select("ms", F.col("event_type").alias("type"), (F.col("user_id") % 4).cast("int").alias("part"))
+    arrived = inputs.with_slice(e, "ms").where("part <> 3 OR slice < 2")
+    path = shared_dir(spark, "slow")
+    parts = [s.withColumn("ts", event_time("ms")) for s in partition_streams(spark, f"{path}/in", "part", PARTS, "ms BIGINT, type STRING, slice INT")]
+    counted = windows.window_counts(windows.partition_watermarks(parts), SHORT_WINDOW_MS).drop("window")
+    # It runs on while rows arrive, as a partition's newest time is known to a running query only.
+    job = jobs.append_files(counted, f"{path}/out", f"{path}/checkpoint", interval="2 seconds")
+    try:
+        for number in range(inputs.SLICES):
+            inputs.add_slice_whole(arrived, number, path, "part", PARTS)
+            job.processAllAvailable()
+    finally:
+        job.stop()
+    return spark.read.schema(counted.schema).parquet(f"{path}/out")
+
+
+@query
+def stream_route_delays(spark, folder):
+    """Rows and mean delay per second and route folder, from a stream that stamps and routes."""
+    log = inputs.json_log(inputs.events(spark, folder))
+
+    def job(path, base, checkpoint):
+        records = table_stream(spark, path, schema=log.schema)
+        return jobs.route_stamped(records, base, checkpoint, arrival=F.col("in_time"), departure=F.col("out_time"))
+
+    lines = jobs.stamped_lines(spark, _in_slices(spark, log, "event_id", "delays", job))
+    seconds = counts.per_second_counts(lines, "folder")
+    return seconds.join(counts.mean_delay_per_second(lines, "folder"), ["folder", "key"])

@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     # Of a key that a JSON object repeats, the last value counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # The slowest source holds windows open, see ``windows.partition_watermarks``.
+    "spark.sql.streaming.multipleWatermarkPolicy": "min",
 }
 
 

@@ -7,6 +7,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.sinks.folders import Folders
+
 # Fixed value: name of a measurement file.
 MEASURE_FILE = r"throughput_(\d+)_(\d+)\.csv"
 
@@ -77,12 +79,18 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def text_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """New text files of a folder as a stream of lines ``value``, oldest file first."""
+def text_stream(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, with_time: bool = False
+) -> DataFrame:
+    """New text files of a folder as a stream of lines ``value``, oldest file first.
+
+    ``with_time`` adds ``ms``, when the line's file was written: the arrival time that the source knows.
+    """
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(path)
+    lines = reader.text(path)
+    return lines.select("value", F.unix_millis("_metadata.file_modification_time").alias("ms")) if with_time else lines
 
 
 def table_stream(
@@ -95,6 +103,31 @@ def table_stream(
     return reader.parquet(path)
 
 
+def partition_streams(
+    spark: SparkSession, path: str, column: str, partitions: list[int], schema, files_per_batch: int | None = None
+) -> list[DataFrame]:
+    """A log kept as one folder ``<column>=<number>`` of Parquet files per partition, as one stream each.
+
+    The partitions are given, so that one that has no file yet is waited for.
+    """
+    folders, streams = Folders(spark, path), []
+    for number in partitions:
+        folders.make(f"{column}={number}")
+        rows = table_stream(spark, f"{path}/{column}={number}", files_per_batch, schema)
+        streams.append(rows.withColumn(column, F.lit(number)))
+    return streams
+
+
+def kafka_partition_streams(spark: SparkSession, topic: str, partitions: list[int], **options) -> list[DataFrame]:
+    """The partitions of a topic as one stream each; needs Spark's Kafka package."""
+    streams = []
+    for number in partitions:
+        settings = kafka_options(topic=topic, **options)
+        del settings["subscribe"]
+        streams.append(_kafka_columns(spark.readStream.format("kafka").options(**settings, assign=json.dumps({topic: [number]})).load()))
+    return streams
+
+
 def line_source(spark: SparkSession, kind: str, **options) -> DataFrame:
     """Stream of ``value`` lines from ``kafka`` or ``text``: the same job runs on both."""
     if kind == "kafka":

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidegauge.functions.codec import count_json, indicator_json
+from tidegauge.functions.codec import count_json, csv_line, indicator_json
 from tidegauge.operators.classify import interaction_events
 from tidegauge.operators.route import with_route
+from tidegauge.operators.running import carried_on, latest_totals, running_reduce
+from tidegauge.operators.stamp import stamp_arrival, stamp_departure
 from tidegauge.operators.windows import (
-    tumbling,
     window_counts,
     window_indicators,
     with_watermark,
     word_events,
     word_window_bounds,
 )
-from tidegauge.sinks.files import batch_folder, fan_out
+from tidegauge.sinks.files import batch_folder, fan_out, route_folder
+from tidegauge.sinks.folders import Folders
 from tidegauge.sinks.store import store_writer
 
 
@@ -81,28 +83,89 @@ def realtime_indicators(
         return batch.select(count_json("start_time", "end_time", "type", "count").alias("value"))
 
     def map_texts(batch: DataFrame) -> DataFrame:
-        return window_indicators_of_batch(batch).select(
-            indicator_json("start_time", "end_time", "indexs").alias("value")
-        )
+        return window_indicators(batch, size_ms).select(indicator_json("start_time", "end_time", "indexs").alias("value"))
 
-    def to_store(batch: DataFrame, batch_id: int) -> None:
-        store_writer(f"{base}/store")(map_texts(batch), batch_id)
+    def maps_to_both(batch: DataFrame, batch_id: int) -> None:
+        fan_out(batch_folder(f"{base}/total"), store_writer(f"{base}/store"))(map_texts(batch), batch_id)
 
-    targets = fan_out(
-        batch_folder(f"{base}/mul", count_texts), batch_folder(f"{base}/total", map_texts), to_store
-    )
-    counts = stream_type_counts(lines, size_ms, digit).drop("window")
+    targets = fan_out(batch_folder(f"{base}/mul", count_texts), maps_to_both)
+    counts = stream_type_counts(lines, size_ms, digit)
     return start(counts.writeStream.foreachBatch(targets), checkpoint, interval)
 
 
-def window_indicators_of_batch(counts: DataFrame) -> DataFrame:
-    """``window_indicators`` for counts that carry their bounds only."""
-    entries = F.array_sort(F.collect_list(F.struct("type", "count")))
-    return (
-        counts.groupBy("start_time", "end_time")
-        .agg(F.map_from_entries(entries).alias("indexs"))
-        .where(F.map_contains_key("indexs", "other"))
-    )
+def route_stamped(
+    records: DataFrame,
+    base: str,
+    checkpoint: str,
+    interval: str | None = None,
+    arrival: Column | None = None,
+    departure: Column | None = None,
+) -> StreamingQuery:
+    """Route JSON records and measure how long that takes: ``in,out,value`` lines, one folder per
+    micro-batch and route.
+
+    ``arrival`` is the time the source gives a record (of a Kafka record or a file, see ``logs``), or the clock
+    when the row is read. The rows are kept before they are written, and ``departure`` is the clock at
+    the writer then. ``counts.per_second_counts`` and ``mean_delay_per_second`` read the folders back.
+    """
+    arrived = stamp_arrival(records, arrival)
+    given = [departure.alias("_departure")] if departure is not None else []
+    routed = with_route(arrived.select("in_time", "value", *given))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        leaving = stamp_departure(batch, F.col("_departure") if given else None)
+        lines = leaving.select(csv_line("in_time", "out_time", "value").alias("value"), route_folder("route").alias("folder"))
+        lines.write.mode("overwrite").partitionBy("folder").text(f"{base}/batch={batch_id}")
+
+    return start(routed.writeStream.foreachBatch(fan_out(write)), checkpoint, interval)
+
+
+def stamped_lines(spark: SparkSession, base: str) -> DataFrame:
+    """``(value, folder)`` of all micro-batches of ``route_stamped``."""
+    return spark.read.schema("value STRING, batch BIGINT, folder STRING").format("text").load(base).select("value", "folder")
+
+
+# A whole state is written again after so many micro-batches, and changes in between.
+STATE_EVERY = 16
+
+
+def running_words(
+    words: DataFrame,
+    order: list[str],
+    blocks: list[dict[str, Column]],
+    base: str,
+    checkpoint: str,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """For every ``(word, in_time)`` row of a stream the newest time and the number of its word so far.
+
+    State has two levels. A micro-batch cuts its rows of a word into ranges of ``order``, each scanned
+    by a task of its own from what the ranges before add up to, as ``running_by_key`` does; the
+    sums of all batches before it are joined by word. They lie in ``base``: each batch adds the
+    sums of its words, and every STATE_EVERY-th all of them, so a batch reads a few folders.
+    A repeated batch reads what it read before and replaces what it wrote. Rows go to ``base/rows``.
+    """
+    spark = words.sparkSession
+    schema = "word STRING, in_time BIGINT, count BIGINT"
+
+    def summed(first: int, last: int) -> DataFrame:
+        """Sums of the batches before ``last``: the whole state at ``first`` and the changes since."""
+        there = Folders(spark, base)
+        names = [f"whole/batch={first}", *(f"sums/batch={i}" for i in range(first, last))]
+        parts = [f"{base}/{name}" for name in names if there.exists(name)]
+        old = spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
+        return old.groupBy("word").agg(F.max("in_time").alias("in_time"), F.sum("count").alias("count"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        whole = batch_id - batch_id % STATE_EVERY
+        if batch_id and batch_id == whole:
+            summed(whole - STATE_EVERY, whole).write.mode("overwrite").parquet(f"{base}/whole/batch={whole}")
+        totals_before = summed(whole, batch_id)
+        running = carried_on(totals_before, running_reduce(batch, order, blocks))
+        running.write.mode("overwrite").parquet(f"{base}/rows/batch={batch_id}")
+        latest_totals(batch).write.mode("overwrite").parquet(f"{base}/sums/batch={batch_id}")
+
+    return start(words.writeStream.foreachBatch(fan_out(write)), checkpoint, interval)
 
 
 def route_files(

@@ -12,8 +12,8 @@ SAMPLE = (
 )
 
 
-def line(uid="2736320532", code="14000003", mode="1", extend="luicode:10000408;ext:insert_type:5"):
-    fields = ["2018-06-06 16:08:28", "1.2.3.4", uid, code, "4", mode, "1", "8", "9", extend]
+def line(uid="1300024510", code="14000003", mode="1", extend="luicode:10000408;ext:insert_type:5"):
+    fields = ["2021-03-14 07:21:45", "1.2.3.4", uid, code, "4", mode, "1", "8", "9", extend]
     return "\t".join(fields)
 
 
@@ -33,8 +33,8 @@ CASES = {
     line(code="14000116", mode="0", extend="uicode:10000408;insert_type:5"): "other",
     line(code="14000098"): "other",
     line(extend=""): "bad_record",
-    "2018-06-06 16:08:28\ttoo\tshort": "bad_record",
-    line().replace("2018-06-06", "someday"): "bad_record",
+    "2021-03-14 07:21:45\ttoo\tshort": "bad_record",
+    line().replace("2021-03-14", "someday"): "bad_record",
 }
 
 
@@ -44,7 +44,7 @@ def test_types(spark):
 
 
 def test_digit_only_guards_unless_fixed(spark):
-    lines = values(spark, [line(uid="98765"), line(uid="1234"), line(uid="2736320532")])
+    lines = values(spark, [line(uid="98765"), line(uid="1234"), line(uid="1300024510")])
     assert as_rows(cl.classify(lines, 3), "type") == [("fwd_3_2",), ("fwd_3_9",), ("fwd_3_null",)]
     assert as_rows(cl.classify(lines, 3, fixed=True), "type") == [("fwd_3_2",), ("fwd_3_5",), ("fwd_3_7",)]
 
@@ -55,7 +55,7 @@ def test_events_and_bad_records_share_the_lines(spark):
     assert bad == sorted((text,) for text, kind in CASES.items() if kind == "bad_record")
     events = cl.interaction_events(lines, 5)
     assert events.count() == len(CASES) - len(bad)
-    assert as_rows(events.distinct(), "ms")[0] == (1528301308000,)
+    assert as_rows(events.select("ms").distinct(), "ms") == [(1580702706000,), (1615706505000,)]
 
 
 ROUTES = {

@@ -233,6 +233,11 @@ def test_shared_dir_falls_back_to_the_warehouse():
     settings = {"spark.sql.warehouse.dir": "file:/w"}
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
     assert shared_dir(session, "x").startswith("file:/w/x-")
+    settings["spark.master"] = "yarn"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session, "x")
+    settings["spark.sql.warehouse.dir"] = "hdfs://nn/w"
+    assert shared_dir(session, "x").startswith("hdfs://nn/w/x-")
 
 
 def test_prepare_sets_the_runtime_settings(spark):

@@ -108,8 +108,8 @@ def test_realtime_job_fills_all_three_targets(spark, line_files, tmp_path):
 
 def test_due_maps_wait_and_need_the_closing_type(spark, tmp_path):
     def line(minute, other):
-        uid, insert = "2736320532", "1" if other else "5"
-        fields = [f"2018-06-06 {16 + minute // 60}:{minute % 60:02d}:00", "ip", uid, "14000003", "4", "1", "1", "8", "9",
+        uid, insert = "1300024510", "1" if other else "5"
+        fields = [f"2021-03-14 {16 + minute // 60}:{minute % 60:02d}:00", "ip", uid, "14000003", "4", "1", "1", "8", "9",
                   f"luicode:10000408;insert_type:{insert}"]
         return "\t".join(fields)
 

@@ -79,12 +79,12 @@ def interact_log(e: DataFrame) -> DataFrame:
         ";ext:insert_type:5|oriuicode:10000001",
     )
     extend = F.concat(
-        F.lit("domain_id=>"), F.col("event_id"), F.lit(",spr=>from:1084395010;wm:9856_0004;"),
+        F.lit("object=>"), F.col("event_id"), F.lit(",from=>page:77;x:1_2;"),
         pages, insert,
     )
     address = F.concat(F.lit("10.0."), user % 256, F.lit("."), k)
     line = F.concat_ws(
-        "\t", F.date_format("at", LOG_TIME), address, uid, code, F.lit("419697"), mode,
+        "\t", F.date_format("at", LOG_TIME), address, uid, code, F.lit("100200"), mode,
         F.lit("1"), F.col("event_id"), user, extend,
     )
     return compute_once(e, "value", line).select("event_id", "user_id", "value")

@@ -47,7 +47,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for checkpoints and result tables that every executor can reach.
 
     The cluster names it in ``spark.checkpoint.dir``; without that it lies in the session's
-    warehouse, which a cluster shares as well.
+    warehouse. Where that is a folder of the driver's machine alone, only a local session may use it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        of_one_machine = base.startswith("file:") or "://" not in base
+        if of_one_machine and not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {base} is on one machine")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -11,13 +11,15 @@ equal pieces and adjacent positions are one comparison. A length is extended in
 A relation never moves between tasks, since a piece lies in one block; only counts are exchanged,
 summed before they are. The semi-join reads a bitmap of the frequent phrases, sized by their number.
 What passes it by chance costs some counts and no more: a longer phrase is never more frequent than
-its parts, and the phrases that are returned are joined exactly. Phrases are told apart by 64-bit hashes.
+its parts, and the phrases that are returned are joined exactly. The parts of a phrase are told once, by
+the block of least number that holds it. Phrases are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,9 +43,9 @@ SALTS = 64
 
 _LEFT, _RIGHT, _LANG = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0x8EBC6AF09C88C6E3)
 
-COUNTED = "id BIGINT, n BIGINT"
-WORDS = "pos BINARY, gram BINARY, id BIGINT, word STRING, lang STRING, n BIGINT"
-LONGER = "pos BINARY, gram BINARY, id BIGINT, first BIGINT, rest BIGINT"
+COUNTED = "id BIGINT, n BIGINT, block BIGINT"
+WORDS = "block BIGINT, pos BINARY, gram BINARY, id BIGINT, word STRING, lang STRING, n BIGINT"
+LONGER = "block BIGINT, pos BINARY, gram BINARY, id BIGINT, first BIGINT, rest BIGINT"
 
 
 def _packed(pos: np.ndarray) -> bytes:
@@ -66,31 +68,37 @@ class Bitmap:
 
 
 class Counts:
-    """Partial counts of a task, handed on when there are too many."""
+    """Partial counts of a task with the least block of each phrase, handed on when there are too many."""
 
     def __init__(self):
         self.parts, self.size = [], 0
 
-    def add(self, ids: np.ndarray):
+    def add(self, ids: np.ndarray, block: int = 0):
         found, n = np.unique(ids, return_counts=True)
-        self.parts.append((found, n))
+        self.parts.append((found, n, np.full(len(found), block)))
         self.size += len(found)
         if self.size > MOST_COUNTS:
-            found, n = self._merged()
-            self.parts, self.size = [(found, n)], len(found)
+            self.parts = [self._merged()]
+            self.size = len(self.parts[0][0])
             if self.size > MOST_COUNTS // 2:
                 yield from self.rest()
 
     def _merged(self):
-        found, n = (np.concatenate(column) for column in zip(*self.parts))
+        found, n, block = (np.concatenate(column) for column in zip(*self.parts))
         whole, where = np.unique(found, return_inverse=True)
-        return whole, np.bincount(where, weights=n, minlength=len(whole)).astype(np.int64)
+        least = np.full(len(whole), np.iinfo(np.int64).max)
+        np.minimum.at(least, where, block)
+        return whole, np.bincount(where, weights=n, minlength=len(whole)).astype(np.int64), least
 
     def rest(self):
         if self.parts:
-            found, n = self._merged()
-            self.parts, self.size = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["id", "n"])
+            columns, self.parts, self.size = self._merged(), [], 0
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["id", "n", "block"])
+
+
+def told_by(ids: np.ndarray, block: int) -> np.ndarray:
+    """The slot of a phrase that one block tells of."""
+    return mix(ids.view(np.uint64) + mix(np.array([block], dtype=np.uint64))).view(np.int64)
 
 
 class Once:
@@ -160,62 +168,77 @@ def _batch(schema: pa.Schema, size: int, /, **columns) -> pa.RecordBatch:
 
 def word_relation(docs: DataFrame, frequent: bytes) -> DataFrame:
     """The relation of frequent words in blocks, the text of each such word, and words per language."""
-    schema = pa.schema([("pos", pa.binary()), ("gram", pa.binary()), ("id", pa.int64()), ("word", pa.string()), ("lang", pa.string()), ("n", pa.int64())])
+    schema = pa.schema([("block", pa.int64()), ("pos", pa.binary()), ("gram", pa.binary()), ("id", pa.int64()), ("word", pa.string()), ("lang", pa.string()), ("n", pa.int64())])
 
     def split(batches):
-        bitmap, once = Bitmap(frequent), Once()
+        bitmap, once, block = Bitmap(frequent), Once(), TaskContext.get().partitionId() << 32
         for langs, words in _blocks(batches):
             yield _batch(schema, len(langs), lang=langs, n=pa.array(words.sizes, pa.int64()))
             kept = np.flatnonzero(bitmap.has(words.ids))
             ids, at = once.new(words.ids[kept])
             yield _batch(schema, len(ids), id=pa.array(ids), word=words.text(kept[at]), lang=langs.take(pa.array(words.row[kept[at]])))
-            yield _batch(schema, 1, pos=binary([_packed(words.positions()[kept])]), gram=binary([words.ids[kept].tobytes()]))
+            yield _batch(schema, 1, block=pa.array([block]), pos=binary([_packed(words.positions()[kept])]), gram=binary([words.ids[kept].tobytes()]))
+            block += 1
 
     return docs.select("lang", "text").mapInArrow(split, WORDS)
 
 
 def _joined(batches):
-    """Merge-join of each block with itself: ``(positions, longer phrases, first part, remaining part)``."""
+    """Merge-join of each block with itself: ``(block, positions, longer phrases, first part, remaining part)``."""
     for batch in batches:
-        for pos, gram in zip(batch.column(0), batch.column(1)):
+        for block, pos, gram in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
             pos, gram = _unpacked(pos.as_py()), np.frombuffer(gram.as_py(), dtype=np.int64)
             next_to = np.flatnonzero(pos[1:] == pos[:-1] + 1)
             if len(next_to):
                 first, rest = gram[next_to], gram[next_to + 1]
-                yield pos[next_to], mix(first.view(np.uint64) * _LEFT + mix(rest.view(np.uint64)) * _RIGHT).view(np.int64), first, rest
+                yield block, pos[next_to], mix(first.view(np.uint64) * _LEFT + mix(rest.view(np.uint64)) * _RIGHT).view(np.int64), first, rest
 
 
 def longer_counts(relation: DataFrame) -> DataFrame:
-    """Partial counts ``(id, n)`` of the phrases that are longer by one word."""
+    """Partial counts ``(id, n, block)`` of the phrases that are longer by one word."""
 
     def count(batches):
         counts = Counts()
-        for _, phrases, _, _ in _joined(batches):
-            yield from counts.add(phrases)
+        for block, _, phrases, _, _ in _joined(batches):
+            yield from counts.add(phrases, block)
         yield from counts.rest()
 
-    return relation.where("pos IS NOT NULL").select("pos", "gram").mapInArrow(count, COUNTED)
+    return relation.where("pos IS NOT NULL").select("block", "pos", "gram").mapInArrow(count, COUNTED)
 
 
-def longer_relation(relation: DataFrame, frequent: bytes) -> DataFrame:
+def longer_relation(relation: DataFrame, frequent: bytes, tellers: bytes) -> DataFrame:
     """The next relation in blocks, and the two parts ``(id, first, rest)`` of each phrase in it."""
-    schema = pa.schema([("pos", pa.binary()), ("gram", pa.binary()), ("id", pa.int64()), ("first", pa.int64()), ("rest", pa.int64())])
+    schema = pa.schema([("block", pa.int64()), ("pos", pa.binary()), ("gram", pa.binary()), ("id", pa.int64()), ("first", pa.int64()), ("rest", pa.int64())])
 
     def extend(batches):
-        bitmap, once = Bitmap(frequent), Once()
-        for pos, phrases, first, rest in _joined(batches):
+        bitmap, told = Bitmap(frequent), Bitmap(tellers)
+        for block, pos, phrases, first, rest in _joined(batches):
             kept = np.flatnonzero(bitmap.has(phrases))
             if not len(kept):
                 continue
-            ids, at = once.new(phrases[kept])
-            yield _batch(schema, len(ids), id=pa.array(ids), first=pa.array(first[kept[at]]), rest=pa.array(rest[kept[at]]))
-            yield _batch(schema, 1, pos=binary([_packed(pos[kept])]), gram=binary([phrases[kept].tobytes()]))
+            ids, at = np.unique(phrases[kept], return_index=True)
+            own = told.has(told_by(ids, block))
+            ids, at = ids[own], kept[at[own]]
+            yield _batch(schema, len(ids), id=pa.array(ids), first=pa.array(first[at]), rest=pa.array(rest[at]))
+            yield _batch(schema, 1, block=pa.array([block]), pos=binary([_packed(pos[kept])]), gram=binary([phrases[kept].tobytes()]))
+
+    return relation.where("pos IS NOT NULL").select("block", "pos", "gram").mapInArrow(extend, LONGER)
+
+
+def tellers(counted: DataFrame) -> DataFrame:
+    """The slots ``id`` of ``told_by`` of all frequent phrases and their blocks."""
+
+    def slots(batches):
+        for batch in batches:
+            ids, blocks = (batch.column(i).to_numpy() for i in (0, 1))
+            told = mix(ids.view(np.uint64) + mix(blocks.view(np.uint64))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(told)], names=["id"])
 
-    return relation.where("pos IS NOT NULL").select("pos", "gram").mapInArrow(extend, LONGER)
+    return counted.select("id", "block").mapInArrow(slots, "id BIGINT")
 
 
 def frequent_bitmap(phrases: DataFrame) -> bytes:
-    """A bit for every hash slot of a phrase ``id``; at most MOST_SLOTS bits, put together from blocks."""
+    """A bit for every hash slot of an ``id``; at most MOST_SLOTS bits, put together from blocks."""
     slots, wanted = LEAST_SLOTS, min(SLOTS_PER_PHRASE * phrases.count(), MOST_SLOTS)
     while slots < wanted:
         slots *= 2
@@ -245,20 +268,20 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def frequent(partial):
-        return stored(partial.groupBy("id").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "frequent")
+        return stored(partial.groupBy("id").agg(F.sum("n").alias("a"), F.min("block").alias("block")).where(F.col("a") >= least), "frequent")
 
     counted = frequent(word_counts(docs))
     relation = stored(word_relation(docs, frequent_bitmap(counted)), "words")
     totals = relation.where("n IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
-    words = relation.where("id IS NOT NULL").join(counted, "id").groupBy("id", "a").agg(F.min("lang").alias("lang"), F.min("word").alias("phrase"))
+    words = relation.where("id IS NOT NULL").join(counted.select("id", "a"), "id").groupBy("id", "a").agg(F.min("lang").alias("lang"), F.min("word").alias("phrase"))
     known = stored(words.select("id", "lang", "phrase", F.col("phrase").alias("last"), "a", F.array("a").alias("heads"), F.array("a").alias("tails")), "phrases")
     levels = [known]
     for length in range(2, longest + 1):
         counted = frequent(longer_counts(relation))
         if counted.isEmpty():
             break
-        relation = stored(longer_relation(relation, frequent_bitmap(counted)), f"phrases{length}")
-        parts = relation.where("id IS NOT NULL").join(counted, "id").select("id", "first", "rest", "a").dropDuplicates(["id"])
+        relation = stored(longer_relation(relation, frequent_bitmap(counted), frequent_bitmap(tellers(counted))), f"phrases{length}")
+        parts = relation.where("id IS NOT NULL").join(counted.select("id", "a"), "id").select("id", "first", "rest", "a").dropDuplicates(["id"])
         head = known.select(F.col("id").alias("first"), "lang", F.col("phrase").alias("head"), "heads")
         tail = known.select(F.col("id").alias("rest"), "last", "tails")
         whole = parts.join(head, "first").join(tail, "rest")

@@ -137,7 +137,10 @@ def estimates(moments: DataFrame, overall: dict | None = None, weight: int = PRI
     prior_1 = [prior * overall[f"s{i}"] / total if total else 0.0 for i in range(d)]
     prior_2 = {(i, j): prior * overall[f"s{i}{j}"] / total if total else 0.0 for i, j in PAIRS}
     keys = [c for c in ("start", "group") if c in moments.columns]
-    rows = moments.select(*keys, *MOMENTS, *(((F.col(f"s{i}") + F.lit(float(prior_1[i]))) / n / UNIT).alias(f"m{i}") for i in range(d)), *(((F.col(f"s{i}{j}") + F.lit(float(prior_2[i, j]))) / n / UNIT**2).alias(f"q{i}{j}") for i, j in PAIRS))
+    # One select, whose columns build on those before them.
+    columns = [*keys, *MOMENTS]
+    columns += [((F.col(f"s{i}") + F.lit(float(prior_1[i]))) / n / UNIT).alias(f"m{i}") for i in range(d)]
+    columns += [((F.col(f"s{i}{j}") + F.lit(float(prior_2[i, j]))) / n / UNIT**2).alias(f"q{i}{j}") for i, j in PAIRS]
     for i in range(d):
         for j in range(i + 1):
             value = CONSISTENCY * (F.col(f"q{j}{i}") - F.col(f"m{i}") * F.col(f"m{j}"))
@@ -146,9 +149,9 @@ def estimates(moments: DataFrame, overall: dict | None = None, weight: int = PRI
             for k in range(j):
                 value = value - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             # The added spread keeps the matrix positive; the floor is for rounding alone.
-            rows = rows.withColumn(f"l{i}{j}", F.sqrt(F.greatest(value, F.lit(1e-6))) if i == j else value / F.col(f"l{j}{j}"))
+            columns.append((F.sqrt(F.greatest(value, F.lit(1e-6))) if i == j else value / F.col(f"l{j}{j}")).alias(f"l{i}{j}"))
     log_det = sum((F.log(f"l{i}{i}") for i in range(1, d)), F.log("l00"))
-    return rows.select(*keys, *MOMENTS, *ESTIMATE, (2 * log_det).alias("log_det"))
+    return moments.select(*columns, (2 * log_det).alias("log_det")).select(*keys, *MOMENTS, *ESTIMATE, "log_det")
 
 
 def quartile_start(rows: DataFrame) -> DataFrame:
@@ -176,14 +179,14 @@ def distances(rows: DataFrame, fitted: DataFrame) -> DataFrame:
     # A group may hold a third of all rows: they are spread over SALTS copies of its estimate.
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", *NAMES), F.lit(SALTS)).cast("int"))
-    out = salted.join(fitted.select("*", salts), ["group", "salt"], "left")
+    out, columns = salted.join(fitted.select("*", salts), ["group", "salt"], "left"), []
     for i in range(d):
         value = F.col(NAMES[i]) / UNIT - F.col(f"m{i}")
         for k in range(i):
             value = value - F.col(f"l{i}{k}") * F.col(f"y{k}")
-        out = out.withColumn(f"y{i}", value / F.col(f"l{i}{i}"))
+        columns.append((value / F.col(f"l{i}{i}")).alias(f"y{i}"))
     total = sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(1, d)), F.col("y0") * F.col("y0"))
-    return out.select(*keys, *rows.columns, total.alias("distance"))
+    return out.select(*keys, *rows.columns, *columns, total.alias("distance")).select(*keys, *rows.columns, "distance")
 
 
 def nearest(rows: DataFrame, fitted: DataFrame) -> DataFrame:
@@ -206,19 +209,23 @@ def concentrated(rows: DataFrame, starts: list[DataFrame], overall: dict | None,
     fitted = starts[0].select(F.lit(0).alias("start"), "group", *ESTIMATE)
     for k, more in enumerate(starts[1:], 1):
         fitted = fitted.unionByName(more.select(F.lit(k).alias("start"), "group", *ESTIMATE))
-    fitted, reached = stored(fitted, "starts"), None
+    fitted, state = stored(fitted, "starts"), None
+    names = [*MOMENTS, *ESTIMATE, "log_det"]
     while True:
         step = estimates(nearest(rows, fitted), overall, weight)
-        if reached is not None:
-            before = reached.select("start", "group", F.col("log_det").alias("before"))
-            step = step.join(before, ["start", "group"]).where(F.col("log_det") < F.col("before") - LEAST_FALL).drop("before")
-        fitted = stored(step, "step")
+        if state is None:
+            step = step.withColumn("moved", F.lit(True))
+        else:
+            new = step.select("start", "group", F.struct(*names).alias("new"))
+            falls = F.coalesce(F.col("new.log_det") < F.col("log_det") - LEAST_FALL, F.lit(False))
+            step = state.join(new, ["start", "group"], "left").select(
+                "start", "group", *(F.when(falls, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in names), falls.alias("moved")
+            )
+        state = stored(step, "step")
+        fitted = state.where("moved")
         if fitted.isEmpty():
             break
-        reached = fitted if reached is None else stored(reached.join(fitted, ["start", "group"], "left_anti").unionByName(fitted), "reached")
-    if reached is None:
-        return fitted.drop("start")
-    best = reached.groupBy("group").agg(F.min(F.struct("log_det", "start", *MOMENTS, *ESTIMATE)).alias("best"))
+    best = state.groupBy("group").agg(F.min(F.struct("log_det", "start", *MOMENTS, *ESTIMATE)).alias("best"))
     return best.select("group", *(F.col(f"best.{c}").alias(c) for c in (*MOMENTS, *ESTIMATE, "log_det")))
 
 

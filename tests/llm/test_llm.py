@@ -326,7 +326,8 @@ def test_scores_are_sums_over_contexts():
     n, total = pseudo_lm.scores(pa.array([prose(50), "", prose(3)]), classes, model)
     assert n.tolist() == [50, 0, 3] and total[1] == 0
     for big in (0, 50):
-        model["bias"][0] += big
+        model["bias"][0, 0] += big
+        model["branch_bias"][0] += big
         around, target = rng_contexts()
         want = pseudo_lm.forward(model, around)[1][np.arange(len(target)), target]
         assert np.allclose(pseudo_lm.target_logp(model, around, target), want, atol=1e-4)

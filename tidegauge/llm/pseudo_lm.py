@@ -1,8 +1,9 @@
 """Document scores by masked pseudo-likelihood.
 
 A small network in numpy predicts the class of each word from two words on either side, the word
-itself being masked. Classes are the most frequent words and, for the rest, hash groups. A
-word's probability is that of its class times the word's share in its class, and a document's
+itself being masked. Classes are the most frequent words and, for the rest, hash groups; they
+are dealt to branches, and a class's probability is that of its branch times that within it, so
+that a word costs two short soft-maxes instead of one over all classes. A word's probability is that of its class times the word's share in its class, and a document's
 score is the sum of the log-probabilities of its words. Word counts and training cover all
 documents: each task trains a copy of the network on its own rows, every word of a text being a
 target in one of the rounds, and the copies are averaged by the targets they saw.
@@ -33,7 +34,14 @@ KNOWN = 1 << 16
 HELD_WORDS = 1 << 20
 BATCH = 4096
 RATE = 0.01
-SHAPES = {"context": (len(SIDES), CLASSES + 1, HIDDEN), "hidden": (HIDDEN,), "out": (HIDDEN, CLASSES), "bias": (CLASSES,)}
+# The output has two levels: class c is number c // BRANCHES of branch c % BRANCHES.
+BRANCHES = 16
+SHAPES = {
+    "context": (len(SIDES), CLASSES + 1, HIDDEN), "hidden": (HIDDEN,), "branch": (HIDDEN, BRANCHES), "branch_bias": (BRANCHES,),
+    "out": (BRANCHES, HIDDEN, CLASSES // BRANCHES), "bias": (BRANCHES, CLASSES // BRANCHES),
+}
+# Arrays of tasks that one group adds up before the second sum.
+PART = 256
 
 
 def _slots(words: np.ndarray) -> np.ndarray:
@@ -41,20 +49,28 @@ def _slots(words: np.ndarray) -> np.ndarray:
 
 
 def _summed(rows: DataFrame, size: int) -> np.ndarray:
-    """The sum of arrays ``(block, numbers)`` of float64 over all tasks, ``size`` numbers in blocks."""
+    """The sum of arrays ``(block, part, numbers)`` of float64 over all tasks, ``size`` numbers in blocks.
+
+    PART tasks are added up at a time and then their sums, so no group holds the arrays of all tasks.
+    """
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(b, dtype=np.float64) for b in table.column("numbers").to_pylist())
+        total = np.zeros(len(table.column("numbers")[0].as_py()) // 8)
+        for numbers in table.column("numbers"):
+            total += np.frombuffer(numbers.as_buffer(), dtype=np.float64)
         return pa.table({"block": table.column("block").slice(0, 1), "numbers": binary([total.tobytes()])})
 
-    blocks = rows.groupBy("block").applyInArrow(add, "block INT, numbers BINARY").collect()
-    parts = [np.frombuffer(r["numbers"], dtype=np.float64) for r in sorted(blocks, key=lambda r: r["block"])]
-    return np.concatenate(parts)[:size] if parts else np.zeros(size)
+    schema = "block INT, numbers BINARY"
+    parts = rows.groupBy("block", "part").applyInArrow(add, schema)
+    blocks = parts.groupBy("block").applyInArrow(add, schema).collect()
+    sums = [np.frombuffer(r["numbers"], dtype=np.float64) for r in sorted(blocks, key=lambda r: r["block"])]
+    return np.concatenate(sums)[:size] if sums else np.zeros(size)
 
 
 def _blocks(numbers: np.ndarray) -> pa.RecordBatch:
     parts = np.array_split(numbers.astype(np.float64), 64)
-    return pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), binary([p.tobytes() for p in parts])], names=["block", "numbers"])
+    part = pa.array([TaskContext.get().partitionId() // PART] * len(parts), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), part, binary([p.tobytes() for p in parts])], names=["block", "part", "numbers"])
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -112,11 +128,11 @@ def known_words(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
 def start(class_counts: np.ndarray) -> dict[str, np.ndarray]:
     """The network before training: it knows how frequent classes are."""
     rng = np.random.default_rng(7)
-    share = (class_counts + 1) / (class_counts.sum() + CLASSES)
-    return {
-        "context": rng.normal(0, 0.1, SHAPES["context"]).astype(np.float32), "hidden": np.zeros(HIDDEN, dtype=np.float32),
-        "out": rng.normal(0, 0.1, SHAPES["out"]).astype(np.float32), "bias": np.log(share).astype(np.float32),
-    }
+    share = ((class_counts + 1) / (class_counts.sum() + CLASSES)).reshape(-1, BRANCHES).T
+    branch = share.sum(axis=1)
+    model = {name: rng.normal(0, 0.1, SHAPES[name]).astype(np.float32) for name in ("context", "branch", "out")}
+    model |= {"hidden": np.zeros(HIDDEN, dtype=np.float32), "branch_bias": np.log(branch).astype(np.float32)}
+    return model | {"bias": np.log(share / branch[:, None]).astype(np.float32)}
 
 
 def flat(model: dict[str, np.ndarray]) -> np.ndarray:
@@ -153,23 +169,60 @@ def hidden_values(model, around: np.ndarray) -> np.ndarray:
 def forward(model, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(hidden values, log-probabilities of all classes)`` for each context."""
     hidden = hidden_values(model, around)
-    logits = hidden @ model["out"] + model["bias"]
-    logits -= logits.max(axis=1, keepdims=True)
-    return hidden, logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    logp = np.empty((len(around), CLASSES))
+    branch = _normal(model["branch"].T @ hidden.T + model["branch_bias"][:, None])
+    for b in range(BRANCHES):
+        logp[:, b::BRANCHES] = (branch[b] + _normal(model["out"][b].T @ hidden.T + model["bias"][b][:, None])).T
+    return hidden, logp
+
+
+def _normal(logits: np.ndarray) -> np.ndarray:
+    """Log-probabilities of the rows' logits, a column for each context."""
+    logits = logits - logits.max(axis=0)
+    return logits - np.log(np.exp(logits).sum(axis=0))
+
+
+def _by_branch(target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(order, bounds)``: targets in the order of their branches; branch b is order[bounds[b]:bounds[b+1]]."""
+    branch = (target % BRANCHES).astype(np.uint8)
+    return np.argsort(branch, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(branch, minlength=BRANCHES))])
+
+
+def _leaf_logits(model, hidden: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The logits of the classes of each target's own branch; targets stand in the order of branches."""
+    logits = np.empty((CLASSES // BRANCHES, len(hidden)), dtype=np.float32)
+    for b in range(BRANCHES):
+        low, high = bounds[b], bounds[b + 1]
+        logits[:, low:high] = model["out"][b].T @ hidden[low:high].T
+        logits[:, low:high] += model["bias"][b][:, None]
+    return logits
 
 
 def target_logp(model, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """The log-probability of one class for each context.
+    """The log-probability of one class for each context: that of its branch plus that within the branch."""
+    order, bounds = _by_branch(target)
+    hidden, own, place = hidden_values(model, around[order]), target[order], np.arange(len(target))
+    logp = np.zeros(len(target), dtype=np.float32)
+    for logits, chosen in (
+        (model["branch"].T @ hidden.T + model["branch_bias"][:, None], own % BRANCHES), (_leaf_logits(model, hidden, bounds), own // BRANCHES),
+    ):
+        logits -= logits.max(axis=0)
+        logp += logits[chosen, place]
+        logp -= np.log(np.exp(logits, out=logits).sum(axis=0))
+    out = np.empty_like(logp)
+    out[order] = logp
+    return out
 
-    Hidden values lie between -1 and 1, so the weights bound the logits: one shift serves all
-    rows if the bound is far from overflow.
-    """
-    if np.abs(model["out"]).sum(axis=0).max() + np.abs(model["bias"]).max() > 40:
-        return forward(model, around)[1][np.arange(len(target)), target]
-    logits = hidden_values(model, around) @ model["out"]
-    logits += model["bias"]
-    own = logits[np.arange(len(target)), target]
-    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
+
+def _error(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The gradient of the mean loss by the logits, in place."""
+    n = logits.shape[1]
+    logits -= logits.max(axis=0)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=0)
+    logits[chosen, np.arange(n)] -= 1
+    logits /= n
+    return logits
 
 
 def train(model, batches) -> int:
@@ -178,17 +231,23 @@ def train(model, batches) -> int:
     second = {k: np.zeros_like(v) for k, v in model.items()}
     seen = step = 0
     for around, target in batches:
-        n = len(target)
+        order, bounds = _by_branch(target)
+        around, target, n = around[order], target[order], len(target)
         hidden = hidden_values(model, around)
-        error = hidden @ model["out"]
-        error += model["bias"]
-        error -= error.max(axis=1, keepdims=True)
-        np.exp(error, out=error)
-        error /= error.sum(axis=1, keepdims=True)
-        error[np.arange(n), target] -= 1
-        error /= n
-        back = (error @ model["out"].T) * (1 - hidden * hidden)
-        grads = {"out": hidden.T @ error, "bias": error.sum(axis=0), "hidden": back.sum(axis=0), "context": np.zeros_like(model["context"])}
+        branch = _error(model["branch"].T @ hidden.T + model["branch_bias"][:, None], target % BRANCHES)
+        leaf = _error(_leaf_logits(model, hidden, bounds), target // BRANCHES)
+        back = branch.T @ model["branch"].T
+        grads = {
+            "context": np.zeros_like(model["context"]), "branch": hidden.T @ branch.T, "branch_bias": branch.sum(axis=1),
+            "out": np.empty_like(model["out"]), "bias": np.empty_like(model["bias"]),
+        }
+        for b in range(BRANCHES):
+            low, high = bounds[b], bounds[b + 1]
+            back[low:high] += leaf[:, low:high].T @ model["out"][b].T
+            grads["out"][b] = hidden[low:high].T @ leaf[:, low:high].T
+            grads["bias"][b] = leaf[:, low:high].sum(axis=1)
+        back *= 1 - hidden * hidden
+        grads["hidden"] = back.sum(axis=0)
         for k in range(len(SIDES)):
             side = around[:, k].astype(np.int16)
             order = np.argsort(side, kind="stable")
@@ -239,7 +298,7 @@ def trained(docs: DataFrame, classes: np.ndarray, class_counts: np.ndarray) -> d
             seen = train(copy, targets())
             yield _blocks(np.append(flat(copy).astype(np.float64) * seen, seen))
 
-        total = _summed(docs.select("text").mapInArrow(fit, "block INT, numbers BINARY"), len(model) + 1)
+        total = _summed(docs.select("text").mapInArrow(fit, "block INT, part INT, numbers BINARY"), len(model) + 1)
         if total[-1]:
             model = (total[:-1] / total[-1]).astype(np.float32)
     return shaped(model)

@@ -273,7 +273,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     counted = frequent(word_counts(docs))
     relation = stored(word_relation(docs, frequent_bitmap(counted)), "words")
     totals = relation.where("n IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
-    words = relation.where("id IS NOT NULL").join(counted.select("id", "a"), "id").groupBy("id", "a").agg(F.min("lang").alias("lang"), F.min("word").alias("phrase"))
+    told = relation.where("id IS NOT NULL").groupBy("id").agg(F.min("lang").alias("lang"), F.min("word").alias("phrase"))
+    words = told.join(counted.select("id", "a"), "id")
     known = stored(words.select("id", "lang", "phrase", F.col("phrase").alias("last"), "a", F.array("a").alias("heads"), F.array("a").alias("tails")), "phrases")
     levels = [known]
     for length in range(2, longest + 1):
@@ -281,7 +282,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         if counted.isEmpty():
             break
         relation = stored(longer_relation(relation, frequent_bitmap(counted), frequent_bitmap(tellers(counted))), f"phrases{length}")
-        parts = relation.where("id IS NOT NULL").join(counted.select("id", "a"), "id").select("id", "first", "rest", "a").dropDuplicates(["id"])
+        parts = relation.where("id IS NOT NULL").select("id", "first", "rest").dropDuplicates(["id"]).join(counted.select("id", "a"), "id")
         head = known.select(F.col("id").alias("first"), "lang", F.col("phrase").alias("head"), "heads")
         tail = known.select(F.col("id").alias("rest"), "last", "tails")
         whole = parts.join(head, "first").join(tail, "rest")

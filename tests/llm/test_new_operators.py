@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from oracle_check import SPARK_TYPES, differences
-from tidegauge.llm import license_scan, phrase_mining, prefix_trie
+from tidegauge.llm import license_scan, phrase_index, phrase_mining, prefix_trie, queries
 
 SPARK_TYPES.setdefault("double", "DOUBLE")
 
@@ -161,3 +161,18 @@ def test_two_fattest_numbers(spark):
     rows = spark.range(1, 200).select(F.col("id").alias("high")).withColumn("low", F.explode(F.sequence(F.lit(0), F.col("high") - 1)))
     for row in rows.select("low", "high", prefix_trie.fattest("low", "high").alias("f")).collect():
         assert row["f"] == max(range(row["low"] + 1, row["high"] + 1), key=lambda x: x & -x)
+
+
+# -- decontamination ----------------------------------------------------------------------
+
+
+def test_decontamination_equals_sql(spark, docs):
+    item = "One two three four five six seven eight nine ten eleven twelve"
+    texts = [None, "", item.upper(), "x " + item + " y " + item, "one two", "short item here", item[: item.index(" eleven")] + " é", "a b"] * 2
+    items = spark.createDataFrame([(1, item), (10, "Short, item"), (2, None), (3, "b"), (3, "b"), (None, "one")], "item_id BIGINT, text STRING")
+    table = docs(texts)
+    found = queries.contaminated(phrase_index.contamination(table, items))
+    con = duckdb.connect()
+    con.register("documents", table.toArrow())
+    con.register("benchmark", items.toArrow())
+    assert not differences(found, con, phrase_index.ORACLE)

@@ -167,19 +167,19 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _words_sql(text: str) -> str:
+def words_sql(text: str) -> str:
     return f"list_filter(string_split_regex(translate(coalesce({text}, ''), '{UPPER}', '{LOWERED}'), '{APART}'), lambda w: w <> '')"
 
 
 # Runs of words are joined as lists; the places a copy covers are unnested and counted.
 ORACLE = f"""
-WITH docs AS (SELECT row_number() OVER () AS row, doc_id, {_words_sql('text')} AS w FROM documents),
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, {words_sql('text')} AS w FROM documents),
 phrases(label, p) AS (VALUES {', '.join(f"({_quoted(label)}, {phrase.split(' ')})" for phrase, label in PHRASES.items())}),
 named AS (
     SELECT row, label, i - 1 AS place FROM docs, phrases, unnest(range(1, len(w) - len(p) + 2)) AS r(i) WHERE w[i : i + len(p) - 1] = p),
 base AS (
     SELECT row, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels FROM named GROUP BY row),
-templates AS (SELECT template, {_words_sql('t')} AS w FROM (VALUES {', '.join(f'({_quoted(n)}, {_quoted(t)})' for n, t in TEMPLATES)}) AS v(template, t)),
+templates AS (SELECT template, {words_sql('t')} AS w FROM (VALUES {', '.join(f'({_quoted(n)}, {_quoted(t)})' for n, t in TEMPLATES)}) AS v(template, t)),
 parts AS (SELECT template, len(w) AS size, i AS tpos, w[i : i + {K - 1}] AS g FROM templates, unnest(range(1, len(w) - {K - 2})) AS r(i)),
 runs AS (SELECT row, i AS pos, w[i : i + {K - 1}] AS g FROM docs, unnest(range(1, len(w) - {K - 2})) AS r(i)),
 hits AS (SELECT row, template, size, tpos, pos - tpos AS diagonal FROM runs JOIN parts USING (g)),

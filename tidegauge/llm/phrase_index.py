@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import slot_bitmap, stored, texts_of
+from tidegauge.llm.license_scan import words_sql
 from tidegauge.llm.textscan import ALNUM_WORDS, LOWER, batches_of, hash_words, whole_hash, window_hashes
 
 SIZE = 10
@@ -218,3 +219,21 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = SIZE) -> DataFr
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", F.array().cast("array<bigint>")).alias("items"),
         F.coalesce("matches", F.lit(0)).alias("matches"),
     )
+
+
+# Windows are joined as word lists; the words that they cover are unnested and counted.
+ORACLE = f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, {words_sql('text')} AS w FROM documents),
+items AS (SELECT item_id, {words_sql('text')} AS w FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (
+    SELECT DISTINCT item_id, size, w[i : i + size - 1] AS g
+    FROM (SELECT item_id, w, least(len(w), {SIZE}) AS size FROM items WHERE len(w) > 0), unnest(range(1, len(w) - size + 2)) AS r(i)),
+runs AS (
+    SELECT row, size, i AS pos, w[i : i + size - 1] AS g FROM docs, (SELECT DISTINCT size FROM windows) AS sizes, unnest(range(1, len(w) - size + 2)) AS r(i)),
+hits AS (SELECT row, size, pos, item_id FROM runs JOIN windows USING (size, g)),
+covered AS (SELECT row, count(DISTINCT pos + j) AS n_hit FROM hits, range({SIZE}) AS r(j) WHERE j < size GROUP BY row),
+found AS (SELECT row, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items, count(DISTINCT (pos, size)) AS matches FROM hits GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(len(coalesce(items, [])) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(matches, 0) AS matches
+FROM docs LEFT JOIN covered USING (row) LEFT JOIN found USING (row)
+"""

@@ -50,8 +50,7 @@ def op8_secret_entropy(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.summary(secret_scan.find(table(spark, folder, "documents")))
 
 
-def op9_phrase_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    found = phrase_index.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+def contaminated(found: DataFrame) -> DataFrame:
     names = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(names, 256).alias("items_sha256"),
@@ -59,6 +58,10 @@ def op9_phrase_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_phrase_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(phrase_index.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
+
+
 def op10_bpe_chunk_reuse(spark: SparkSession, folder: str) -> DataFrame:
     coded = bpe_chunks.encode_decode(table(spark, folder, "documents"), WORD_BPE)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))

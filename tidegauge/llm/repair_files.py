@@ -1,10 +1,10 @@
 """Token-id files compressed by Re-Pair, with random access.
 
 Documents are encoded in ascending order of their ids and cut into shards of about SHARD_TOKENS
-ids. A shard keeps a grammar: frequent pairs of neighbouring symbols are replaced by new symbols,
-many pairs in each round, in rounds. It stores the rules, the number of ids each rule expands to and
-the remaining sequence. From the expansion lengths any range of ids is found by binary search
-and only the symbols that cover it are expanded.
+ids. A shard keeps a grammar: frequent pairs of neighbouring symbols are replaced by new symbols
+until no pair is frequent. It stores the rules, the number of ids each rule expands to and
+the remaining sequence, in as many bits a number as they need. From the expansion lengths any range
+of ids is found by binary search and only the rules that it needs are expanded.
 """
 
 from __future__ import annotations
@@ -20,84 +20,100 @@ from tidegauge.llm.pieces import encoder, ranges, spaced_pieces
 from tidegauge.llm.textscan import batches_of, bytes_of
 
 SHARD_TOKENS = 1 << 20
-ROUNDS = 4
-ALPHABET = 512
-RULES_PER_ROUND = 2048
+# Pairs that occur so often are replaced.
 LEAST_COUNT = 8
+# Width of the table of hashed pair counts; it costs time only.
+SLOT_BITS = 18
+# A multiple of eight, so that every block of packed numbers ends at a byte.
+PACKED_AT_ONCE = 1 << 16
 
-SHARD_SCHEMA = "part INT, shard INT, start BIGINT, n BIGINT, base INT, doc_ids BINARY, has_id BINARY, lengths BINARY, rules BINARY, expansions BINARY, sequence BINARY"
+SHARD_SCHEMA = "part INT, shard INT, start BIGINT, n BIGINT, base INT, n_rules INT, n_symbols INT, doc_ids BINARY, has_id BINARY, lengths BINARY, rules BINARY, expansions BINARY, sequence BINARY"
+
+
+def _pairs(sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pair at each place as one number, its slot in a table of hashed counts, and that table."""
+    pairs = (sequence[:-1] << 32) | sequence[1:]
+    slots = pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    slots >>= np.uint64(64 - SLOT_BITS)
+    slots = slots.view(np.int64)
+    return pairs, slots, np.bincount(slots, minlength=1 << SLOT_BITS)
+
+
+def _frequent(pairs: np.ndarray, slots: np.ndarray, table: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(good, counts, place, which)``: the pairs that occur ``least`` times or more, how often, and where.
+
+    Most pairs are rare. Hashed counts are never too low, so they leave few places to be sorted.
+    """
+    place = np.flatnonzero((table >= least)[slots])
+    place = place[np.argsort(pairs[place], kind="stable")]
+    ordered = pairs[place]
+    begin = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]][: len(ordered)])
+    counts = np.diff(np.r_[begin, len(place)])
+    enough = counts >= least
+    held = np.repeat(enough, counts)
+    return ordered[begin[enough]], counts[enough], place[held], np.repeat(np.cumsum(enough) - 1, counts)[held]
+
+
+def _apart(n: int, place: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Which of the places, pairs of neighbours with a count each, are taken so that no two overlap.
+
+    The greater count wins; in a run of equal counts every second place is taken, from the left.
+    """
+    at = np.zeros(n + 2, dtype=np.int64)
+    at[place + 1] = weight
+    best = (at[1:-1] > 0) & (at[1:-1] >= at[:-2]) & (at[1:-1] >= at[2:])
+    chosen = np.flatnonzero(best)
+    if not len(chosen):
+        return best
+    run = np.flatnonzero(np.r_[True, np.diff(chosen) != 1])
+    inside = chosen - np.repeat(chosen[run], np.diff(np.r_[run, len(chosen)]))
+    best[chosen[inside % 2 == 1]] = False
+    return best
 
 
 def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(rules, expansions, sequence)``: symbol ``base + r`` stands for the pair ``rules[r]``.
 
-    Each round counts the pairs of the most frequent symbols, replaces the most frequent pairs
-    from the left (in a run of overlapping matches every second one) and goes on with the result.
+    All pairs of neighbours are counted and the frequent ones replaced, in rounds whose least count falls
+    by four each to LEAST_COUNT, and then as often as there are pairs that reach it. A pair that is left
+    less than two places of its own waits for another round. It ends when a round replaces nothing, so
+    only pairs that lose all their places to others of at least the same count can be left.
     """
-    sequence = ids.astype(np.int32)
+    sequence = ids.astype(np.int64)
     rules = np.zeros((0, 2), dtype=np.int64)
     sizes = np.ones(base, dtype=np.int64)
-    for _ in range(ROUNDS):
-        if len(sequence) < 2 * LEAST_COUNT:
-            break
-        counts = np.bincount(sequence, minlength=len(sizes))
-        k = min(ALPHABET, len(counts))
-        often = np.sort(np.argpartition(counts, -k)[-k:])
-        often = often[counts[often] >= LEAST_COUNT]
-        if not len(often):
-            break
-        rank = np.full(len(sizes), -1, dtype=np.int32)
-        rank[often] = np.arange(len(often))
-        ranked = rank[sequence]
-        # Pairs with a rarer symbol count in one last place that is never replaced.
-        none = len(often) ** 2
-        pair = np.where((ranked[:-1] >= 0) & (ranked[1:] >= 0), ranked[:-1] * np.int32(len(often)) + ranked[1:], np.int32(none))
-        pair_counts = np.bincount(pair, minlength=none + 1)[:none]
-        good = np.flatnonzero(pair_counts >= LEAST_COUNT)
-        if not len(good):
-            break
-        if len(good) > RULES_PER_ROUND:
-            good = np.sort(good[np.argpartition(pair_counts[good], -RULES_PER_ROUND)[-RULES_PER_ROUND:]])
-        symbol = np.full(none + 1, -1, dtype=np.int32)
-        symbol[good] = len(sizes) + np.arange(len(good))
-        named = symbol[pair]
-        place = np.flatnonzero(named >= 0)
-        named = named[place]
-        run = np.flatnonzero(np.r_[True, np.diff(place) != 1])
-        inside = place - np.repeat(place[run], np.diff(np.r_[run, len(place)]))
-        place, named = place[inside % 2 == 0], named[inside % 2 == 0]
-        made = np.stack([often[good // len(often)], often[good % len(often)]], axis=1)
-        rules = np.concatenate([rules, made])
-        sizes = np.concatenate([sizes, sizes[made].sum(axis=1)])
-        sequence[place] = named
+    least = None
+    while len(sequence) >= 2 * LEAST_COUNT:
+        pairs, slots, table = _pairs(sequence)
+        least = max(LEAST_COUNT, int(table.max() if least is None else least) // 4)
+        good, counts, place, which = _frequent(pairs, slots, table, least)
+        taken = _apart(len(pairs), place, counts[which])[place]
+        named = np.bincount(which[taken], minlength=len(good)) >= 2
+        taken &= named[which]
+        if not taken.any():
+            if least == LEAST_COUNT:
+                break
+            continue
+        place, which = place[taken], (np.cumsum(named) - 1)[which[taken]]
+        # A pair that lost places to others in an earlier round has its rule already.
+        _, old, again = np.intersect1d((rules[:, 0] << 32) | rules[:, 1], good[named], assume_unique=True, return_indices=True)
+        new = np.ones(int(named.sum()), dtype=bool)
+        new[again] = False
+        symbols = len(sizes) + np.cumsum(new) - 1
+        symbols[again] = base + old
+        made = np.stack([good[named][new] >> 32, good[named][new] & 0xFFFFFFFF], axis=1)
+        sequence[place] = symbols[which]
         left = np.ones(len(sequence), dtype=bool)
         left[place + 1] = False
         sequence = sequence[left]
-    return rules, sizes[base:], sequence.astype(np.int64)
-
-
-def _pool(rules: np.ndarray, expansions: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The expansion of every symbol in one array, with its start and length."""
-    lengths = np.concatenate([np.ones(base, dtype=np.int64), expansions])
-    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    pool = np.zeros(int(lengths.sum()), dtype=np.int64)
-    pool[:base] = np.arange(base)
-    done = 0
-    while done < len(rules):
-        # All rules whose parts are expanded already: those that name no rule of this stretch.
-        ahead = (rules[done:] >= base + done).any(axis=1)
-        stop = done + (int(np.argmax(ahead)) if ahead.any() else len(ahead))
-        for side in (0, 1):
-            part = rules[done:stop, side]
-            to = starts[base + done : base + stop] + (lengths[rules[done:stop, 0]] if side else 0)
-            pool[ranges(to, lengths[part])] = pool[ranges(starts[part], lengths[part])]
-        done = stop
-    return pool, starts, lengths
+        rules = np.concatenate([rules, made])
+        sizes = np.concatenate([sizes, sizes[made].sum(axis=1)])
+    return rules, sizes[base:], sequence
 
 
 def expand(rules, expansions, sequence, base: int, start: int = 0, stop: int | None = None) -> np.ndarray:
-    """The ids ``start:stop`` of a shard; only the symbols that cover them are expanded."""
-    pool, starts, lengths = _pool(rules, expansions, base)
+    """The ids ``start:stop`` of a shard; only the rules that this range needs are expanded."""
+    lengths = np.concatenate([np.ones(base, dtype=np.int64), expansions])
     ends = np.cumsum(lengths[sequence])
     total = int(ends[-1]) if len(ends) else 0
     stop = total if stop is None else min(stop, total)
@@ -106,12 +122,62 @@ def expand(rules, expansions, sequence, base: int, start: int = 0, stop: int | N
     first, last = np.searchsorted(ends, start, side="right"), np.searchsorted(ends, stop, side="left")
     symbols = sequence[first : last + 1]
     skipped = int(ends[first] - lengths[symbols[0]])
+    pool, starts = _pool(rules, lengths, base, symbols)
     return pool[ranges(starts[symbols], lengths[symbols])][start - skipped : stop - skipped]
 
 
+def _pool(rules: np.ndarray, lengths: np.ndarray, base: int, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The expansions of ``symbols`` and of all that they are made of in one array, and where each starts."""
+    needed = np.zeros(len(lengths), dtype=bool)
+    fresh = np.unique(symbols)
+    while len(fresh):
+        needed[fresh] = True
+        parts = np.unique(rules[fresh[fresh >= base] - base])
+        fresh = parts[~needed[parts]]
+    used = np.flatnonzero(needed)
+    starts = np.zeros(len(lengths), dtype=np.int64)
+    starts[used] = np.cumsum(lengths[used]) - lengths[used]
+    pool = np.zeros(int(lengths[used].sum()), dtype=np.int64)
+    plain = used[used < base]
+    pool[starts[plain]] = plain
+    made = used[used >= base]
+    while len(made):
+        # All rules whose parts are expanded already: those before the first that names one of them.
+        ahead = (rules[made - base] >= made[0]).any(axis=1)
+        stop = int(np.argmax(ahead)) if ahead.any() else len(made)
+        now, made = made[:stop], made[stop:]
+        left, right = rules[now - base].T
+        pool[ranges(starts[now], lengths[left])] = pool[ranges(starts[left], lengths[left])]
+        pool[ranges(starts[now] + lengths[left], lengths[right])] = pool[ranges(starts[right], lengths[right])]
+    return pool, starts
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers in as many bits as the greatest of them takes; the first byte says how many."""
+    width = max(1, int(values.max()).bit_length()) if len(values) else 1
+    parts = [bytes([width])]
+    for low in range(0, len(values), PACKED_AT_ONCE):
+        block = values[low : low + PACKED_AT_ONCE].astype("<u4").view(np.uint8).reshape(-1, 4)
+        parts.append(np.packbits(np.unpackbits(block, axis=1, bitorder="little")[:, :width], bitorder="little").tobytes())
+    return b"".join(parts)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers of ``packed``."""
+    width, out, at = data[0], np.zeros(n, dtype=np.int64), 1
+    for low in range(0, n, PACKED_AT_ONCE):
+        many = min(PACKED_AT_ONCE, n - low)
+        size = (many * width + 7) // 8
+        bits = np.zeros((many, 32), dtype=np.uint8)
+        bits[:, :width] = np.unpackbits(np.frombuffer(data, dtype=np.uint8, count=size, offset=at), count=many * width, bitorder="little").reshape(-1, width)
+        out[low : low + many] = np.packbits(bits, axis=1, bitorder="little").view("<u4")[:, 0]
+        at += size
+    return out
+
+
 def _parts(shard: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    rules = np.frombuffer(shard["rules"], dtype="<u4").astype(np.int64).reshape(-1, 2)
-    return rules, np.frombuffer(shard["expansions"], dtype="<u4").astype(np.int64), np.frombuffer(shard["sequence"], dtype="<u4").astype(np.int64), shard["base"]
+    n = shard["n_rules"]
+    return unpacked(shard["rules"], 2 * n).reshape(-1, 2), unpacked(shard["expansions"], n), unpacked(shard["sequence"], shard["n_symbols"]), shard["base"]
 
 
 def shard_ids(shard: dict, start: int = 0, stop: int | None = None) -> np.ndarray:
@@ -125,9 +191,10 @@ def _shard(part: int, shard: int, start: int, base: int, rows: list) -> pa.Recor
     doc_ids = np.array([r[0] or 0 for r in rows], dtype=np.int64)
     has_id = np.array([r[0] is not None for r in rows], dtype=np.uint8)
     rules, expansions, sequence = compress(ids, base)
-    blobs = [doc_ids, has_id, lengths, rules.astype("<u4"), expansions.astype("<u4"), sequence.astype("<u4")]
-    numbers = [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([start], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([base], pa.int32())]
-    return pa.RecordBatch.from_arrays([*numbers, *(binary([b.tobytes()]) for b in blobs)], names=[c.split()[0] for c in SHARD_SCHEMA.split(", ")])
+    blobs = [doc_ids.tobytes(), has_id.tobytes(), lengths.tobytes(), packed(rules.ravel()), packed(expansions), packed(sequence)]
+    numbers = [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([start], pa.int64()), pa.array([len(ids)], pa.int64())]
+    numbers += [pa.array([x], pa.int32()) for x in (base, len(rules), len(sequence))]
+    return pa.RecordBatch.from_arrays([*numbers, *(binary([b]) for b in blobs)], names=[c.split()[0] for c in SHARD_SCHEMA.split(", ")])
 
 
 def write_shards(docs: DataFrame, path: str, end_id: int, parts: int | None = None) -> DataFrame:

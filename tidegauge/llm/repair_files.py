@@ -30,9 +30,11 @@ PACKED_AT_ONCE = 1 << 16
 SHARD_SCHEMA = "part INT, shard INT, start BIGINT, n BIGINT, base INT, n_rules INT, n_symbols INT, doc_ids BINARY, has_id BINARY, lengths BINARY, rules BINARY, expansions BINARY, sequence BINARY"
 
 
-def _pairs(sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The pair at each place as one number, its slot in a table of hashed counts, and that table."""
-    pairs = (sequence[:-1] << 32) | sequence[1:]
+def _pairs(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each pair as one number, its slot in a table of hashed counts, and that table."""
+    pairs = first.astype(np.int64)
+    pairs <<= 32
+    pairs |= second
     slots = pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     slots >>= np.uint64(64 - SLOT_BITS)
     slots = slots.view(np.int64)
@@ -45,7 +47,7 @@ def _frequent(pairs: np.ndarray, slots: np.ndarray, table: np.ndarray, least: in
     Most pairs are rare. Hashed counts are never too low, so they leave few places to be sorted.
     """
     place = np.flatnonzero((table >= least)[slots])
-    place = place[np.argsort(pairs[place], kind="stable")]
+    place = place[np.argsort(pairs[place])]
     ordered = pairs[place]
     begin = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]][: len(ordered)])
     counts = np.diff(np.r_[begin, len(place)])
@@ -59,16 +61,15 @@ def _apart(n: int, place: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
     The greater count wins; in a run of equal counts every second place is taken, from the left.
     """
-    at = np.zeros(n + 2, dtype=np.int64)
+    at = np.zeros(n + 2, dtype=np.int32)
     at[place + 1] = weight
-    best = (at[1:-1] > 0) & (at[1:-1] >= at[:-2]) & (at[1:-1] >= at[2:])
-    chosen = np.flatnonzero(best)
-    if not len(chosen):
-        return best
-    run = np.flatnonzero(np.r_[True, np.diff(chosen) != 1])
+    taken = np.zeros(n, dtype=bool)
+    taken[place[(weight >= at[place]) & (weight >= at[place + 2])]] = True
+    chosen = np.flatnonzero(taken)
+    run = np.flatnonzero(np.r_[True, np.diff(chosen) != 1][: len(chosen)])
     inside = chosen - np.repeat(chosen[run], np.diff(np.r_[run, len(chosen)]))
-    best[chosen[inside % 2 == 1]] = False
-    return best
+    taken[chosen[inside % 2 == 1]] = False
+    return taken[place]
 
 
 def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -78,22 +79,33 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.nda
     by four each to LEAST_COUNT, and then as often as there are pairs that reach it. A pair that is left
     less than two places of its own waits for another round. It ends when a round replaces nothing, so
     only pairs that lose all their places to others of at least the same count can be left.
+
+    After a round at LEAST_COUNT, a pair can be frequent only if it was so before or holds a symbol that
+    the round has put in, so the next one counts those places only.
     """
-    sequence = ids.astype(np.int64)
+    sequence = ids.astype(np.int32)
     rules = np.zeros((0, 2), dtype=np.int64)
     sizes = np.ones(base, dtype=np.int64)
     least = None
+    # Places whose pair may be frequent, if not all; the last place has none.
+    likely = None
     while len(sequence) >= 2 * LEAST_COUNT:
-        pairs, slots, table = _pairs(sequence)
+        if likely is None:
+            pairs, slots, table = _pairs(sequence[:-1], sequence[1:])
+        else:
+            at = np.flatnonzero(likely[:-1])
+            pairs, slots, table = _pairs(sequence[at], sequence[at + 1])
         least = max(LEAST_COUNT, int(table.max() if least is None else least) // 4)
         good, counts, place, which = _frequent(pairs, slots, table, least)
-        taken = _apart(len(pairs), place, counts[which])[place]
+        place = place if likely is None else at[place]
+        taken = _apart(len(sequence), place, counts[which])
         named = np.bincount(which[taken], minlength=len(good)) >= 2
         taken &= named[which]
         if not taken.any():
             if least == LEAST_COUNT:
                 break
             continue
+        lost = place[~taken]
         place, which = place[taken], (np.cumsum(named) - 1)[which[taken]]
         # A pair that lost places to others in an earlier round has its rule already.
         _, old, again = np.intersect1d((rules[:, 0] << 32) | rules[:, 1], good[named], assume_unique=True, return_indices=True)
@@ -106,9 +118,17 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.nda
         left = np.ones(len(sequence), dtype=bool)
         left[place + 1] = False
         sequence = sequence[left]
+        if least == LEAST_COUNT:
+            fresh = np.zeros(len(sizes) + len(made), dtype=bool)
+            fresh[symbols] = True
+            put = fresh[sequence]
+            waiting = np.zeros(len(left), dtype=bool)
+            waiting[lost] = True
+            likely = waiting[left] | put
+            likely[:-1] |= put[1:]
         rules = np.concatenate([rules, made])
         sizes = np.concatenate([sizes, sizes[made].sum(axis=1)])
-    return rules, sizes[base:], sequence
+    return rules, sizes[base:], sequence.astype(np.int64)
 
 
 def expand(rules, expansions, sequence, base: int, start: int = 0, stop: int | None = None) -> np.ndarray:

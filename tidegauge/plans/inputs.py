@@ -188,6 +188,11 @@ def late_words(e: DataFrame) -> DataFrame:
     return lines.join(e.select("event_id", (F.col("ms") + F.col("k") * 3_600_000).alias("arrival")), "event_id")
 
 
+def late_events(e: DataFrame) -> DataFrame:
+    """``(event_id, arrival, ms)``: rows that arrive up to days after their time."""
+    return e.select("event_id", (F.col("ms") + F.col("k") * 3_600_000).alias("arrival"), "ms")
+
+
 # Streams that need several micro-batches get a table in so many slices, one after the other.
 SLICES = 4
 

@@ -20,6 +20,7 @@ from tidegauge.streaming import jobs
 
 
 PARTS = [0, 1, 2, 3]
+HOUR_MS = 3_600_000
 
 
 def _written(spark: SparkSession, stream: DataFrame, name: str, folders=()) -> DataFrame:
@@ -140,6 +141,19 @@ def stream_late_words(spark, folder):
     return spark.read.schema(schema).parquet(base)
 
 
+@query
+def stream_time_buckets(spark, folder):
+    """Rows of the hours that are complete, from a stream with late rows that stops and resumes."""
+    log = inputs.late_events(inputs.events(spark, folder))
+
+    def job(path, base, checkpoint):
+        rows = table_stream(spark, path, schema=log.schema)
+        return jobs.bucket_files(rows, HOUR_MS, base, checkpoint)
+
+    base = _in_slices(spark, log, "arrival", "hours", job)
+    return jobs.closed_buckets(spark, base, "event_id BIGINT, arrival BIGINT, ms BIGINT").select("event_id", "bucket")
+
+
 @query
 def stream_slow_partition(spark, folder):
     """Types per window of four log partitions, the last of which stops halfway and holds windows open."""

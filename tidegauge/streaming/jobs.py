@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidegauge.functions.codec import count_json, csv_line, indicator_json
+from tidegauge.functions.timeconv import window_floor
 from tidegauge.operators.classify import interaction_events
 from tidegauge.operators.route import with_route
 from tidegauge.operators.running import carried_on, latest_totals, running_reduce
 from tidegauge.operators.stamp import stamp_arrival, stamp_departure
 from tidegauge.operators.windows import (
+    MAX_OUT_OF_ORDER_MS,
     window_counts,
     window_indicators,
     with_watermark,
@@ -19,7 +21,7 @@ from tidegauge.operators.windows import (
     word_window_bounds,
 )
 from tidegauge.sinks.files import batch_folder, fan_out, route_folder
-from tidegauge.sinks.folders import Folders
+from tidegauge.sinks.folders import Folders, partition_folder
 from tidegauge.sinks.store import store_writer
 
 
@@ -168,6 +170,70 @@ def running_words(
     return start(words.writeStream.foreachBatch(fan_out(write)), checkpoint, interval)
 
 
+TIME_BUCKETS = "bucket STRING, start BIGINT, newest BIGINT"
+
+
+def bucket_files(
+    records: DataFrame,
+    size_ms: int,
+    base: str,
+    checkpoint: str,
+    interval: str | None = None,
+    pattern: str = "yyyy-MM-dd--HH",
+    delay_ms: int = MAX_OUT_OF_ORDER_MS,
+) -> StreamingQuery:
+    """Write a stream to one folder per time bucket of ``ms``, and mark the buckets that are complete.
+
+    ``pattern`` names buckets of ``size_ms`` apart. A micro-batch is judged by the watermark that all batches
+    before it have left, ``delay_ms`` behind the newest time: rows whose bucket it has passed, and rows
+    without a time, go to ``base/late``. Once a batch is written, the buckets that its own watermark passes
+    are marked in ``base/closed`` and get no more rows. Open buckets and the newest time are carried
+    from batch to batch in ``base/state``. A repeated batch reads what it read before, replaces what it wrote and
+    sets the same marks, so a stop at any point loses and doubles nothing.
+    """
+    spark = records.sparkSession
+    start_ms = window_floor("ms", size_ms)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        folders = Folders(spark, base)
+        before = f"state/batch={batch_id - 1}"
+        known = folders.exists(before)
+        old = spark.read.schema(TIME_BUCKETS).parquet(f"{base}/{before}") if known else spark.createDataFrame([], TIME_BUCKETS)
+        passed = old.agg(F.max("newest") - delay_ms).first()[0]
+        timed = batch.withColumns({"bucket": F.date_format(F.timestamp_millis(start_ms), pattern), "batch": F.lit(batch_id)})
+        late = F.col("ms").isNull() | F.coalesce(start_ms + size_ms <= F.lit(passed).cast("bigint"), F.lit(False))
+        timed.where(late).drop("bucket", "batch").write.mode("overwrite").parquet(f"{base}/late/batch={batch_id}")
+        on_time = timed.where(~late)
+        on_time.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(f"{base}/rows")
+
+        seen = on_time.groupBy("bucket", start_ms.alias("start")).agg(F.max("ms").alias("newest"))
+        both = old.unionByName(seen).groupBy("bucket", "start").agg(F.max("newest").alias("newest"))
+        newest = both.agg(F.max("newest")).first()[0]
+        over = F.coalesce(F.col("start") + size_ms <= F.lit(newest).cast("bigint") - delay_ms, F.lit(False))
+        # Names of the buckets that close with this batch, which are as many as there are folders to mark.
+        for row in both.where(over).select("bucket").distinct().collect():
+            folders.mark(f"closed/{row['bucket']}")
+        clock = spark.range(1).select(F.lit(None).cast("string").alias("bucket"), F.lit(None).cast("bigint").alias("start"), F.lit(newest).cast("bigint").alias("newest"))
+        still = both.where(~over & F.col("start").isNotNull()).unionByName(clock)
+        still.coalesce(1).write.mode("overwrite").parquet(f"{base}/state/batch={batch_id}")
+        if batch_id > 1:
+            folders.drop(f"state/batch={batch_id - 2}")
+
+    return start(records.writeStream.foreachBatch(fan_out(write)), checkpoint, interval)
+
+
+def closed_buckets(spark: SparkSession, base: str, schema: str) -> DataFrame:
+    """Rows of the complete buckets of ``bucket_files`` with their ``bucket``; folders of open ones are not opened.
+
+    ``schema`` is that of the stream's rows. Without a complete bucket there are no rows.
+    """
+    marks = Folders(spark, base).names("closed")
+    if not marks:
+        return spark.createDataFrame([], f"{schema}, bucket STRING")
+    paths = [f"{base}/rows/{partition_folder('bucket', name)}" for name in marks]
+    return spark.read.schema(f"{schema}, bucket STRING, batch BIGINT").option("basePath", f"{base}/rows").parquet(*paths).drop("batch")
+
+
 def route_files(
     records: DataFrame, base: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:

@@ -137,13 +137,17 @@ def redact(docs: DataFrame) -> DataFrame:
 
     All other columns stay as they are but ``n_chars``, where there is one.
     """
-    rows = compute_once(docs, "_digits", F.coalesce(F.col("text").rlike("[0-9]"), F.lit(False)))
+    # The caller's columns are numbered meanwhile, so that none of them meets a name used here.
+    numbered = {name: f"_c{i}" for i, name in enumerate(docs.columns)}
+    rows = docs.toDF(*numbered.values()).withColumnRenamed(numbered["text"], "text")
+    rows = compute_once(rows, "_digits", F.coalesce(F.col("text").rlike("[0-9]"), F.lit(False)))
     for kind, pattern, possible, valid in rules():
         parts = compute_once(rows, "_parts", cut(F.col("text"), pattern, F.coalesce(possible, F.lit(False))))
         parts = with_context(parts, "_parts", "_around") if kind in ADDED else parts
         clean = replaced(F.col("_parts"), f"[{kind.upper()}]", valid, F.col("_around") if kind in ADDED else None)
         text = F.when(F.size("_parts.found") > 0, clean).otherwise(F.col("text"))
         rows = compute_once(parts, "_text", text).withColumn("text", F.col("_text")).drop("_parts", "_around", "_text")
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(docs.columns)
+    made = {"text": F.col("text"), "n_chars": F.char_length("text")}
+    return rows.select(*(
+        made[name].cast(docs.schema[name].dataType).alias(name) if name in made else F.col(number).alias(name) for name, number in numbered.items()
+    ))

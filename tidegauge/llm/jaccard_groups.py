@@ -437,6 +437,13 @@ def _any_link(ours: list[np.ndarray], union: np.ndarray, theirs: list[np.ndarray
     return any(linked(x, y, percent) for y in theirs for x in ours)
 
 
+def repeated_ids(placed: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between the groups that texts of one document fall into."""
+    found = placed.where("doc_id IS NOT NULL AND n_shingles > 0").select("doc_id", "gid")
+    apart = found.groupBy("doc_id").agg(F.min("gid").alias("a"), F.max("gid").alias("most")).where("a < most").select("doc_id", "a")
+    return found.join(apart, "doc_id").where("a < gid").select("a", F.col("gid").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every row.
 
@@ -463,7 +470,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     copies = stored(equal_sets(members), "copies")
     first = stored(between_twins(qualifying(star, sizes, percent), copies), "first")
     heads = members.where("doc_id = gid").select("gid", "doc_id").distinct()
-    links = open_groups(docs, heads, first, width, percent).unionByName(copies)
+    links = open_groups(docs, heads, first, width, percent).unionByName(copies).unionByName(repeated_ids(placed))
     near = components(links)
 
     # Then whole groups, where a shared token meets groups that are not joined yet.
@@ -486,3 +493,25 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     group = group.withColumn("near", F.coalesce("near", "gid"))
     group = group.join(far.withColumnRenamed("node", "near").withColumnRenamed("label", "far"), "near", "left")
     return group.select("doc_id", "n_shingles", F.coalesce("far", "near").alias("component_id"))
+
+
+# All pairs that share a shingle, and what is reached by links.
+ORACLE = f"""
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents),
+sets AS (
+    SELECT row, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {WIDTH} THEN [array_to_string(w, ' ')]
+                             ELSE list_distinct([array_to_string(w[i : i + {WIDTH - 1}], ' ') for i in range(1, len(w) - {WIDTH - 2})]) END AS s FROM docs),
+shingles AS (SELECT row, doc_id, len(s) AS n, unnest(s) AS g FROM sets WHERE doc_id IS NOT NULL),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, a.n + b.n AS sizes, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.g = b.g AND a.row < b.row GROUP BY a.row, b.row, a.doc_id, b.doc_id, a.n, b.n),
+pairs AS (SELECT DISTINCT x, y FROM shared WHERE 100 * n >= {PERCENT} * (sizes - n) AND x <> y),
+links AS (SELECT x, y FROM pairs UNION SELECT y, x FROM pairs),
+reached(doc_id, other) AS (
+    SELECT DISTINCT x, x FROM links UNION SELECT reached.doc_id, links.y FROM reached JOIN links ON links.x = reached.other),
+lowest AS (SELECT doc_id, min(other) AS least FROM reached GROUP BY doc_id)
+SELECT sets.doc_id, len(s) AS n_shingles, coalesce(least, sets.doc_id) AS component_id FROM sets LEFT JOIN lowest ON lowest.doc_id = sets.doc_id
+"""

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -83,6 +84,42 @@ def test_no_phrases(spark):
     assert mine(spark, [("en", None), (None, "a b")]) == []
 
 
+def exchanged_bytes(rows):
+    size = sum(F.coalesce(F.octet_length(c), F.lit(0)) if t == "binary" else F.lit(8) for c, t in rows.dtypes)
+    return rows.agg(F.sum(size)).first()[0]
+
+
+def test_counts_of_rare_phrases_are_small(spark):
+    rnd = random.Random(11)
+    rows = [("en", " ".join(f"w{rnd.randrange(1000)}" for _ in range(1000))) for _ in range(200)]
+    docs = spark.createDataFrame(rows, "lang STRING, text STRING").coalesce(1)
+    relation = phrase_mining.word_relation(docs, b"\xff" * (1 << 17))
+    pairs = len({p for _, text in rows for p in zip(text.split(), text.split()[1:])})
+    assert exchanged_bytes(phrase_mining.longer_counts(relation)) < 8 * pairs
+
+
+def test_partial_counts_add_up(spark):
+    rnd = np.random.default_rng(5)
+    ids = rnd.integers(-(2**63), 2**63, 3000)
+    drawn = [np.append(rnd.choice(ids, 20_000), [-(2**63), -1, 0, 2**63 - 1]) for _ in range(6)]
+
+    def count(batches):
+        counts = phrase_mining.Counts(5)
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                yield from counts.add(drawn[i], i // 2)
+        yield from counts.rest()
+
+    partial = spark.range(0, 6, 1, 2).mapInArrow(count, phrase_mining.COUNTED)
+    total, first = Counter(), {}
+    for i, some in enumerate(drawn):
+        for x in some.tolist():
+            total[x] += 1
+            first.setdefault(x, i // 2)
+    got = {(r["id"], r["a"], r["part"]) for r in phrase_mining.added_up(partial, 40).collect()}
+    assert got == {(x, a, first[x]) for x, a in total.items() if a >= 40}
+
+
 def test_scores_beyond_64_bits(spark):
     a, n, left, right = 10**13, 4 * 10**15, 3 * 10**13, 10**13 + 7
     row = spark.createDataFrame([(a, n, [left, a], [right, a])], "a BIGINT, n BIGINT, heads ARRAY<BIGINT>, tails ARRAY<BIGINT>")

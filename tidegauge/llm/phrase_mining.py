@@ -5,14 +5,15 @@ by position. Positions are counted within a block of whole texts and jump at the
 equal pieces and adjacent positions are one comparison. A length is extended in two passes:
 
 1. merge-join of the sorted relation with itself at the next position and group-count: partial
-   counts of each task are added up by Spark, which leaves the frequent longer phrases,
+   counts of each task are added up by range of their hash, which leaves the frequent longer phrases,
 2. the same merge-join, semi-joined with these: the next relation, written to the shared folder.
 
 A relation never moves between tasks, since a piece lies in one block; only counts are exchanged,
-summed before they are. The semi-join reads a bitmap of the frequent phrases, sized by their number.
+summed before they are. Most of them are ones, of phrases that are rare: a task hands them on as a
+sorted list for each range of hashes, which takes under seven bytes a phrase. The semi-join reads a bitmap of the frequent phrases, sized by their number.
 What passes it by chance costs some counts and no more: a longer phrase is never more frequent than
 its parts, and the phrases that are returned are joined exactly. The parts of a phrase are told once, by
-the block of least number that holds it. Phrases are told apart by 64-bit hashes.
+the part of the relation of least number that holds it. Phrases are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -20,10 +21,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import binary, stored
+from tidegauge.llm.common import binary, buckets, stored
 from tidegauge.llm.textscan import LOWER, batches_of, byte_table, bytes_of, mix, span_hashes, word_spans
 
 # The characters that end a piece, and the blanks between words of a piece.
@@ -40,10 +41,13 @@ MOST_COUNTS = 1 << 21
 SLOTS_PER_PHRASE, LEAST_SLOTS, MOST_SLOTS = 16, 1 << 20, 1 << 28
 BLOCK_SLOTS = 1 << 20
 SALTS = 64
+# Blocks are numbered by the task that wrote them, a part of the relation, and within it.
+PART_BITS = 32
 
 _LEFT, _RIGHT, _LANG = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0x8EBC6AF09C88C6E3)
 
-COUNTED = "id BIGINT, n BIGINT, block BIGINT"
+COUNTED = "range BIGINT, part BIGINT, size BIGINT, counts BINARY"
+FREQUENT = "id BIGINT, a BIGINT, part BIGINT"
 WORDS = "block BIGINT, pos BINARY, gram BINARY, id BIGINT, word STRING, lang STRING, n BIGINT"
 LONGER = "block BIGINT, pos BINARY, gram BINARY, id BIGINT, first BIGINT, rest BIGINT"
 
@@ -67,15 +71,31 @@ class Bitmap:
         return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
-class Counts:
-    """Partial counts of a task with the least block of each phrase, handed on when there are too many."""
+def _packed_counts(ids: np.ndarray, n: np.ndarray) -> bytes:
+    """Ascending ids and their counts: steps between ids, all first bytes before all second ones and so on."""
+    columns = np.stack([np.diff(ids, prepend=np.uint64(0)), n.astype(np.uint64)])
+    return pa.compress(columns.view(np.uint8).reshape(2, -1, 8).transpose(0, 2, 1).tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked_counts(blob: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(pa.decompress(blob, 16 * size, "zstd", asbytes=True), dtype=np.uint8)
+    steps, n = np.ascontiguousarray(raw.reshape(2, 8, size).transpose(0, 2, 1)).view(np.uint64).reshape(2, size)
+    return np.cumsum(steps, dtype=np.uint64), n.astype(np.int64)
 
-    def __init__(self):
-        self.parts, self.size = [], 0
 
-    def add(self, ids: np.ndarray, block: int = 0):
-        found, n = np.unique(ids, return_counts=True)
-        self.parts.append((found, n, np.full(len(found), block)))
+class Counts:
+    """Partial counts of a task, handed on in ``2**bits`` ranges of ids at the end of a part of the relation
+    and when there are too many."""
+
+    def __init__(self, bits: int):
+        self.bits, self.part, self.parts, self.size = bits, 0, [], 0
+
+    def add(self, ids: np.ndarray, part: int = 0):
+        if part != self.part:
+            yield from self.rest()
+            self.part = part
+        found, n = np.unique(ids.view(np.uint64), return_counts=True)
+        self.parts.append((found, n))
         self.size += len(found)
         if self.size > MOST_COUNTS:
             self.parts = [self._merged()]
@@ -84,21 +104,50 @@ class Counts:
                 yield from self.rest()
 
     def _merged(self):
-        found, n, block = (np.concatenate(column) for column in zip(*self.parts))
-        whole, where = np.unique(found, return_inverse=True)
-        least = np.full(len(whole), np.iinfo(np.int64).max)
-        np.minimum.at(least, where, block)
-        return whole, np.bincount(where, weights=n, minlength=len(whole)).astype(np.int64), least
+        return _added(*(np.concatenate(column) for column in zip(*self.parts)))
 
     def rest(self):
         if self.parts:
-            columns, self.parts, self.size = self._merged(), [], 0
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["id", "n", "block"])
+            (ids, n), self.parts, self.size = self._merged(), [], 0
+            ranges, low = np.unique(ids >> np.uint64(64 - self.bits), return_index=True)
+            high = np.append(low[1:], len(ids))
+            packed = binary([_packed_counts(ids[i:j], n[i:j]) for i, j in zip(low.tolist(), high.tolist())])
+            columns = [pa.array(ranges.astype(np.int64)), pa.array(np.full(len(low), self.part)), pa.array(high - low), packed]
+            yield pa.RecordBatch.from_arrays(columns, names=["range", "part", "size", "counts"])
+
+
+def _added(ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    return ids[first], np.add.reduceat(n[order], first)
+
 
+def range_bits(spark: SparkSession) -> int:
+    """Ranges of ids, a power of two and two at least, are as many as the session's partitions ask for."""
+    return max(1, (buckets(spark, 4) - 1).bit_length())
 
-def told_by(ids: np.ndarray, block: int) -> np.ndarray:
-    """The slot of a phrase that one block tells of."""
-    return mix(ids.view(np.uint64) + mix(np.array([block], dtype=np.uint64))).view(np.int64)
+
+def added_up(partial: DataFrame, least: int) -> DataFrame:
+    """``(id, a, part)`` of the phrases counted ``least`` times or more, with the least part that holds each."""
+
+    def add(rows):
+        sizes = rows.column("size").to_numpy()
+        ids, n = (np.concatenate(column) for column in zip(*(_unpacked_counts(b.as_py(), s) for b, s in zip(rows.column("counts"), sizes.tolist()))))
+        part = np.repeat(rows.column("part").to_numpy(), sizes)
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        a = np.add.reduceat(n[order], first)
+        kept = a >= least
+        return pa.table({"id": ids[first][kept].view(np.int64), "a": a[kept], "part": np.minimum.reduceat(part[order], first)[kept]})
+
+    return partial.groupBy("range").applyInArrow(add, FREQUENT)
+
+
+def told_by(ids: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """The slots of phrases that these parts (or one) tell of."""
+    return mix(ids.view(np.uint64) + mix(parts.view(np.uint64))).view(np.int64)
 
 
 class Once:
@@ -151,10 +200,11 @@ def _blocks(batches):
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """Partial counts ``(id, n)`` of words."""
+    """Partial counts of words."""
+    bits = range_bits(docs.sparkSession)
 
     def count(batches):
-        counts = Counts()
+        counts = Counts(bits)
         for _, words in _blocks(batches):
             yield from counts.add(words.ids)
         yield from counts.rest()
@@ -171,7 +221,7 @@ def word_relation(docs: DataFrame, frequent: bytes) -> DataFrame:
     schema = pa.schema([("block", pa.int64()), ("pos", pa.binary()), ("gram", pa.binary()), ("id", pa.int64()), ("word", pa.string()), ("lang", pa.string()), ("n", pa.int64())])
 
     def split(batches):
-        bitmap, once, block = Bitmap(frequent), Once(), TaskContext.get().partitionId() << 32
+        bitmap, once, block = Bitmap(frequent), Once(), TaskContext.get().partitionId() << PART_BITS
         for langs, words in _blocks(batches):
             yield _batch(schema, len(langs), lang=langs, n=pa.array(words.sizes, pa.int64()))
             kept = np.flatnonzero(bitmap.has(words.ids))
@@ -183,6 +233,10 @@ def word_relation(docs: DataFrame, frequent: bytes) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(split, WORDS)
 
 
+def part_of(block: int) -> int:
+    return block >> PART_BITS
+
+
 def _joined(batches):
     """Merge-join of each block with itself: ``(block, positions, longer phrases, first part, remaining part)``."""
     for batch in batches:
@@ -195,12 +249,13 @@ def _joined(batches):
 
 
 def longer_counts(relation: DataFrame) -> DataFrame:
-    """Partial counts ``(id, n, block)`` of the phrases that are longer by one word."""
+    """Partial counts of the phrases that are longer by one word."""
+    bits = range_bits(relation.sparkSession)
 
     def count(batches):
-        counts = Counts()
+        counts = Counts(bits)
         for block, _, phrases, _, _ in _joined(batches):
-            yield from counts.add(phrases, block)
+            yield from counts.add(phrases, part_of(block))
         yield from counts.rest()
 
     return relation.where("pos IS NOT NULL").select("block", "pos", "gram").mapInArrow(count, COUNTED)
@@ -211,14 +266,14 @@ def longer_relation(relation: DataFrame, frequent: bytes, tellers: bytes) -> Dat
     schema = pa.schema([("block", pa.int64()), ("pos", pa.binary()), ("gram", pa.binary()), ("id", pa.int64()), ("first", pa.int64()), ("rest", pa.int64())])
 
     def extend(batches):
-        bitmap, told = Bitmap(frequent), Bitmap(tellers)
+        bitmap, told, once = Bitmap(frequent), Bitmap(tellers), Once()
         for block, pos, phrases, first, rest in _joined(batches):
             kept = np.flatnonzero(bitmap.has(phrases))
             if not len(kept):
                 continue
-            ids, at = np.unique(phrases[kept], return_index=True)
-            own = told.has(told_by(ids, block))
-            ids, at = ids[own], kept[at[own]]
+            own = kept[told.has(told_by(phrases[kept], np.array([part_of(block)])))]
+            ids, at = once.new(phrases[own])
+            at = own[at]
             yield _batch(schema, len(ids), id=pa.array(ids), first=pa.array(first[at]), rest=pa.array(rest[at]))
             yield _batch(schema, 1, block=pa.array([block]), pos=binary([_packed(pos[kept])]), gram=binary([phrases[kept].tobytes()]))
 
@@ -226,15 +281,14 @@ def longer_relation(relation: DataFrame, frequent: bytes, tellers: bytes) -> Dat
 
 
 def tellers(counted: DataFrame) -> DataFrame:
-    """The slots ``id`` of ``told_by`` of all frequent phrases and their blocks."""
+    """The slots ``id`` of ``told_by`` of all frequent phrases and their parts."""
 
     def slots(batches):
         for batch in batches:
-            ids, blocks = (batch.column(i).to_numpy() for i in (0, 1))
-            told = mix(ids.view(np.uint64) + mix(blocks.view(np.uint64))).view(np.int64)
+            told = told_by(*(batch.column(i).to_numpy() for i in (0, 1)))
             yield pa.RecordBatch.from_arrays([pa.array(told)], names=["id"])
 
-    return counted.select("id", "block").mapInArrow(slots, "id BIGINT")
+    return counted.select("id", "part").mapInArrow(slots, "id BIGINT")
 
 
 def frequent_bitmap(phrases: DataFrame) -> bytes:
@@ -268,7 +322,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def frequent(partial):
-        return stored(partial.groupBy("id").agg(F.sum("n").alias("a"), F.min("block").alias("block")).where(F.col("a") >= least), "frequent")
+        return stored(added_up(partial, least), "frequent")
 
     counted = frequent(word_counts(docs))
     relation = stored(word_relation(docs, frequent_bitmap(counted)), "words")

@@ -96,6 +96,16 @@ def test_counts_of_rare_phrases_are_small(spark):
     relation = phrase_mining.word_relation(docs, b"\xff" * (1 << 17))
     pairs = len({p for _, text in rows for p in zip(text.split(), text.split()[1:])})
     assert exchanged_bytes(phrase_mining.longer_counts(relation)) < 8 * pairs
+    assert exchanged_bytes(phrase_mining.slot_counts(relation)) < 4 * pairs
+
+
+def test_slots_shared_by_phrases(spark, monkeypatch):
+    # With 2**20 slots many rare phrases share one that is frequent.
+    monkeypatch.setattr(phrase_mining, "HALF", 44)
+    rnd = random.Random(13)
+    rows = [("en", " ".join(f"w{rnd.randrange(500)}" for _ in range(1000))) for _ in range(60)]
+    whole = mined(rows, 3, 5, 400)
+    assert len(whole) == 400 and mine(spark, rows, least=3, top=400) == whole
 
 
 def test_partial_counts_add_up(spark):

@@ -2,18 +2,21 @@
 
 The relation of length k holds ``(position, phrase)`` of every occurrence of a frequent phrase, sorted
 by position. Positions are counted within a block of whole texts and jump at the end of a piece, so
-equal pieces and adjacent positions are one comparison. A length is extended in two passes:
+equal pieces and adjacent positions are one comparison. A length is extended in three passes:
 
-1. merge-join of the sorted relation with itself at the next position and group-count: partial
-   counts of each task are added up by range of their hash, which leaves the frequent longer phrases,
-2. the same merge-join, semi-joined with these: the next relation, written to the shared folder.
+1. merge-join of the sorted relation with itself at the next position and group-count by half the
+   hash: slots that phrases may share, so no phrase is more frequent than its slot,
+2. the same merge-join and group-count by phrase, of the phrases in frequent slots: partial counts of
+   each task are added up by range of their hash, which leaves the frequent longer phrases,
+3. the same merge-join, semi-joined with these: the next relation, written to the shared folder.
 
 A relation never moves between tasks, since a piece lies in one block; only counts are exchanged,
 summed before they are. Most of them are ones, of phrases that are rare: a task hands them on as a
-sorted list for each range of hashes, which takes under seven bytes a phrase. The semi-join reads a bitmap of the frequent phrases, sized by their number.
-What passes it by chance costs some counts and no more: a longer phrase is never more frequent than
-its parts, and the phrases that are returned are joined exactly. The parts of a phrase are told once, by
-the part of the relation of least number that holds it. Phrases are told apart by 64-bit hashes.
+sorted list for each range of hashes, which takes two or three bytes a slot. The second pass and the
+semi-join read a bitmap of the frequent slots and phrases, sized by their number. What passes it by
+chance costs some counts and no more: a longer phrase is never more frequent than its parts, and the
+phrases that are returned are joined exactly. The parts of a phrase are told once, by the part of the
+relation of least number that holds it. Phrases are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -43,6 +46,8 @@ BLOCK_SLOTS = 1 << 20
 SALTS = 64
 # Blocks are numbered by the task that wrote them, a part of the relation, and within it.
 PART_BITS = 32
+# Bits that an id has beyond its slot. Bitmaps read the low bits of ids, no more than a slot has.
+HALF = 32
 
 _LEFT, _RIGHT, _LANG = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0x8EBC6AF09C88C6E3)
 
@@ -91,6 +96,8 @@ class Counts:
         self.bits, self.part, self.parts, self.size = bits, 0, [], 0
 
     def add(self, ids: np.ndarray, part: int = 0):
+        if not len(ids):
+            return
         if part != self.part:
             yield from self.rest()
             self.part = part
@@ -248,19 +255,28 @@ def _joined(batches):
                 yield block, pos[next_to], mix(first.view(np.uint64) * _LEFT + mix(rest.view(np.uint64)) * _RIGHT).view(np.int64), first, rest
 
 
-def longer_counts(relation: DataFrame) -> DataFrame:
-    """Partial counts of the phrases that are longer by one word."""
+def _longer(relation: DataFrame, keys) -> DataFrame:
     bits = range_bits(relation.sparkSession)
 
     def count(batches):
         counts = Counts(bits)
         for block, _, phrases, _, _ in _joined(batches):
-            yield from counts.add(phrases, part_of(block))
+            yield from counts.add(keys(phrases), part_of(block))
         yield from counts.rest()
 
     return relation.where("pos IS NOT NULL").select("block", "pos", "gram").mapInArrow(count, COUNTED)
 
 
+def slot_counts(relation: DataFrame) -> DataFrame:
+    """Partial counts of the slots of the phrases that are longer by one word: the low half of an id, as the high half."""
+    return _longer(relation, lambda phrases: phrases << HALF)
+
+
+def longer_counts(relation: DataFrame, likely: bytes | None = None) -> DataFrame:
+    """Partial counts of the phrases that are longer by one word, or of those in the bitmap ``likely``."""
+    return _longer(relation, lambda phrases: phrases if likely is None else phrases[Bitmap(likely).has(phrases)])
+
+
 def longer_relation(relation: DataFrame, frequent: bytes, tellers: bytes) -> DataFrame:
     """The next relation in blocks, and the two parts ``(id, first, rest)`` of each phrase in it."""
     schema = pa.schema([("block", pa.int64()), ("pos", pa.binary()), ("gram", pa.binary()), ("id", pa.int64()), ("first", pa.int64()), ("rest", pa.int64())])
@@ -332,7 +348,10 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     known = stored(words.select("id", "lang", "phrase", F.col("phrase").alias("last"), "a", F.array("a").alias("heads"), F.array("a").alias("tails")), "phrases")
     levels = [known]
     for length in range(2, longest + 1):
-        counted = frequent(longer_counts(relation))
+        slots = stored(added_up(slot_counts(relation), least).select(F.shiftrightunsigned("id", HALF).alias("id")), "slots")
+        if slots.isEmpty():
+            break
+        counted = frequent(longer_counts(relation, frequent_bitmap(slots)))
         if counted.isEmpty():
             break
         relation = stored(longer_relation(relation, frequent_bitmap(counted), frequent_bitmap(tellers(counted))), f"phrases{length}")

@@ -1,29 +1,43 @@
 """Encoding by a public tokenizer where each distinct piece of text is encoded once.
 
 A piece is a span of bytes that the tokenizer treats on its own, whatever stands around it. A
-worker keeps the ids of the pieces it has met in flat arrays behind sorted hashes, up to a fixed
-number; beyond that it starts again. Results never depend on what is kept.
+worker keeps the ids of the pieces it has met in flat arrays behind a table of hashes, up to a fixed
+number; beyond that it starts again. Only new pieces are sorted. Results never depend on what is kept.
 """
 
 from __future__ import annotations
 
+import os
 from itertools import chain
 
 import numpy as np
 from tokenizers import Tokenizer
 
-from tidegauge.llm.textscan import SPACED_WORDS, span_hashes
+from tidegauge.llm.textscan import BASE, SPACED_WORDS, mix, span_hashes
 
 MOST_PIECES = 3 << 20
 # New pieces are handed to the library in texts of about this many bytes.
 JOINED_BYTES = 1 << 16
+HASHED_AT_ONCE = 1 << 16
+# Slots of an empty table of hashes, as a power of two; it doubles before half of it is taken.
+FIRST_SLOT_BITS = 16
 
 
-WORD_CHARS = np.array([c < 128 and chr(c).isalnum() for c in range(256)])
-MARKS = np.array([chr(c) in ",.;:!?&%$#*()" for c in range(256)])
+def _kind(c: int) -> int:
+    """What a byte can be, one bit each: space or mark, then what a cut before either needs, two bits on."""
+    space, control = not SPACED_WORDS[c], 0x1C <= c <= 0x1F
+    found = [space, chr(c) in ",.;:!?&%$#*()", not space and not control, c < 128 and chr(c).isalnum(), c >= 0x80, c == 0xC2, 0xE1 <= c <= 0xE3]
+    return sum(bit << k for k, bit in enumerate(found))
+
+
+KINDS = bytes(_kind(c) for c in range(256))
+# The first k bytes of a word of eight.
+FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 
 def load(path: str) -> Tokenizer:
+    # A task has one core; threads of the library would take those of other tasks.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
@@ -47,23 +61,57 @@ def spaced_pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     is surely none: no cut is made behind the characters that could be wider spaces (their
     first UTF-8 bytes C2, E1, E2 and E3) or the four separator controls.
     """
-    space = ~SPACED_WORDS[data]
-    sure = ~space & ~((data >= 0x1C) & (data <= 0x1F))
-    wide = data >= 0x80
-    second = np.zeros(len(data), dtype=bool)
-    second[1:] = data[:-1] == 0xC2
-    third = np.zeros(len(data), dtype=bool)
-    third[2:] = (data[:-2] >= 0xE1) & (data[:-2] <= 0xE3)
-    sure &= ~(wide & (second | third))
-    cut = np.zeros(len(data), dtype=bool)
-    cut[1:] = space[1:] & sure[:-1]
+    kinds = np.frombuffer(data.tobytes().translate(KINDS), dtype=np.uint8)
+    wider = np.zeros(len(data), dtype=np.uint8)
+    wider[1:] = kinds[:-1] >> 5
+    wider[2:] |= kinds[:-2] >> 6
+    wider &= kinds >> 4
+    wider &= 1
     # Marks that end words are cut off behind ASCII letters and digits; the pattern never takes
     # both together. The apostrophe may begin a contraction and the bar a special token; they are left alone.
-    cut[1:] |= MARKS[data[1:]] & WORD_CHARS[data[:-1]]
+    behind = (kinds >> 2) & ~wider
+    cut = np.zeros(len(data), dtype=bool)
+    cut[1:] = (kinds[1:] & behind[:-1] & 3) != 0
     cut[offsets[:-1][offsets[:-1] < len(data)]] = True
     return np.flatnonzero(cut)
 
 
+def piece_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each piece, never 0; so many at once, which bounds the memory."""
+    words = np.zeros(len(data) // 8 + 3, dtype="<u8")
+    words.view(np.uint8)[: len(data)] = data
+    out = np.empty(len(starts), dtype=np.uint64)
+    for low in range(0, len(starts), HASHED_AT_ONCE):
+        part = slice(low, low + HASHED_AT_ONCE)
+        out[part] = _hashes(data, words, starts[part], ends[part] - starts[part])
+    return np.maximum(out, np.uint64(1))
+
+
+def _hashes(data, words, starts, sizes):
+    """Most pieces fit two words of eight bytes, which are hashed at once; the others go byte by byte."""
+    at, shift = starts >> 3, ((starts & 7) << 3).astype(np.uint64)
+    # Where nothing is shifted, the next word is shifted out whole, which leaves 0.
+    back, middle = np.uint64(64) - shift, words[at + 1]
+    first = (words[at] >> shift) | (middle << back)
+    second = (middle >> shift) | (words[at + 2] << back)
+    first &= FIRST_BYTES[np.minimum(sizes, 8)]
+    second &= FIRST_BYTES[np.clip(sizes - 8, 0, 8)]
+    out = mix(first * np.uint64(BASE) + second * np.uint64(0xD6E8FEB86659FD93) + sizes.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+    long = np.flatnonzero(sizes > 16)
+    if len(long):
+        stops = np.cumsum(sizes[long])
+        out[long] = span_hashes(data[ranges(starts[long], sizes[long])], stops - sizes[long], stops)
+    return out
+
+
+def _behind(held: np.ndarray, n: int, more: np.ndarray) -> np.ndarray:
+    """``more`` written behind the first ``n`` entries; where there is no room, the array doubles."""
+    if n + len(more) > len(held):
+        held = np.concatenate([held[:n], np.zeros(n + len(more), dtype=held.dtype)])
+    held[n : n + len(more)] = more
+    return held
+
+
 class PieceEncoder:
     def __init__(self, path: str):
         self.tokenizer = load(path)
@@ -85,40 +133,68 @@ class PieceEncoder:
         return sizes
 
     def _forget(self):
-        self.keys = np.zeros(0, dtype=np.uint64)
-        self.at = np.zeros(0, dtype=np.int64)
-        self.starts = np.zeros(0, dtype=np.int64)
-        self.lengths = np.zeros(0, dtype=np.int64)
+        self.n = 0
+        # Piece i has ids[bounds[i]:bounds[i + 1]]; both arrays have room behind what is used.
+        self.bounds = np.zeros(1, dtype=np.int64)
         self.ids = np.zeros(0, dtype=np.int32)
+        self._empty_table(FIRST_SLOT_BITS)
+
+    def _empty_table(self, bits: int):
+        """A hash stands in the slot that its first bits name, or in the next free one; 0 is a free slot."""
+        self.bits = bits
+        self.keys = np.zeros(1 << bits, dtype=np.uint64)
+        self.piece = np.full(1 << bits, -1, dtype=np.int32)
+
+    def _seek(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each hash, or the free one where it would stand."""
+        slot = (keys >> np.uint64(64 - self.bits)).view(np.int64)
+        held = self.keys[slot]
+        ahead = np.flatnonzero((held != keys) & (held != 0))
+        while len(ahead):
+            slot[ahead] = (slot[ahead] + 1) & (len(self.keys) - 1)
+            held = self.keys[slot[ahead]]
+            ahead = ahead[(held != keys[ahead]) & (held != 0)]
+        return slot
+
+    def _put(self, keys: np.ndarray, pieces: np.ndarray):
+        """Distinct new hashes and their pieces; of those that meet in a free slot, one gets it."""
+        while len(keys):
+            slot = self._seek(keys)
+            self.keys[slot] = keys
+            got = self.keys[slot] == keys
+            self.piece[slot[got]] = pieces[got]
+            keys, pieces = keys[~got], pieces[~got]
 
     def encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, lengths)``: the ids of all pieces in order, and how many each piece has."""
         if not len(starts):
             return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
-        keys, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > MOST_PIECES:
-            self._forget()
-        place = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), dtype=bool)
-        inside = place < len(self.keys)
-        known[inside] = self.keys[place[inside]] == keys[inside]
-        if not known.all():
-            self._learn(data, keys[~known], starts[first[~known]], ends[first[~known]])
-        slot = self.at[np.searchsorted(self.keys, keys)][inverse]
-        lengths = self.lengths[slot]
-        return self.ids[ranges(self.starts[slot], lengths)], lengths
+        keys = piece_hashes(data, starts, ends)
+        piece = self.piece[self._seek(keys)]
+        new = np.flatnonzero(piece < 0)
+        if len(new):
+            fresh, first, inverse = np.unique(keys[new], return_index=True, return_inverse=True)
+            if self.n and self.n + len(fresh) > MOST_PIECES:
+                self._forget()
+                return self.encode(data, starts, ends)
+            piece[new] = self.n + inverse
+            self._learn(data, fresh, starts[new[first]], ends[new[first]])
+        begin = self.bounds[piece]
+        lengths = self.bounds[piece + 1] - begin
+        return self.ids[ranges(begin, lengths)], lengths
 
     def _learn(self, data, keys, starts, ends):
         flat, lengths = self._found(data, starts, ends)
-        begin = len(self.ids) + np.cumsum(lengths) - lengths
-        slots = np.arange(len(self.starts), len(self.starts) + len(keys))
-        self.ids = np.concatenate([self.ids, flat])
-        self.starts = np.concatenate([self.starts, begin])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        joined = np.concatenate([self.keys, keys])
-        order = np.argsort(joined, kind="stable")
-        self.keys, self.at = joined[order], np.concatenate([self.at, slots])[order]
-
+        used = int(self.bounds[self.n])
+        self.ids = _behind(self.ids, used, flat)
+        self.bounds = _behind(self.bounds, self.n + 1, used + np.cumsum(lengths))
+        pieces = np.arange(self.n, self.n + len(keys), dtype=np.int32)
+        self.n += len(keys)
+        if 2 * self.n > len(self.keys):
+            taken = self.piece >= 0
+            keys, pieces = np.concatenate([self.keys[taken], keys]), np.concatenate([self.piece[taken], pieces])
+            self._empty_table((2 * self.n - 1).bit_length())
+        self._put(keys, pieces)
 
     def _found(self, data, starts, ends):
         """The ids of new pieces: side by side where both ends of a piece allow it, else apart."""

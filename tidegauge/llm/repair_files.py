@@ -30,30 +30,41 @@ PACKED_AT_ONCE = 1 << 16
 SHARD_SCHEMA = "part INT, shard INT, start BIGINT, n BIGINT, base INT, n_rules INT, n_symbols INT, doc_ids BINARY, has_id BINARY, lengths BINARY, rules BINARY, expansions BINARY, sequence BINARY"
 
 
-def _pairs(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each pair as one number, its slot in a table of hashed counts, and that table."""
-    pairs = first.astype(np.int64)
-    pairs <<= 32
-    pairs |= second
-    slots = pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    slots >>= np.uint64(64 - SLOT_BITS)
-    slots = slots.view(np.int64)
-    return pairs, slots, np.bincount(slots, minlength=1 << SLOT_BITS)
-
-
-def _frequent(pairs: np.ndarray, slots: np.ndarray, table: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _slots(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slot of each pair in a table of hashed counts, and that table."""
+    slots = first.view(np.uint32) * np.uint32(0x9E3779B1)
+    slots += second.view(np.uint32) * np.uint32(0x85EBCA77)
+    slots >>= np.uint32(32 - SLOT_BITS)
+    slots = slots.astype(np.intp)
+    return slots, np.bincount(slots, minlength=1 << SLOT_BITS)
+
+
+def _frequent(first: np.ndarray, second: np.ndarray, slots: np.ndarray, table: np.ndarray, least: int, symbols: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(good, counts, place, which)``: the pairs that occur ``least`` times or more, how often, and where.
 
-    Most pairs are rare. Hashed counts are never too low, so they leave few places to be sorted.
+    Most pairs are rare. Hashed counts are never too low, so they leave few places to be sorted, each as
+    one number with its pair where both fit 63 bits. There are ``symbols`` symbols.
     """
     place = np.flatnonzero((table >= least)[slots])
-    place = place[np.argsort(pairs[place])]
-    ordered = pairs[place]
+    width, room = symbols.bit_length(), len(first).bit_length()
+    ordered = first[place].astype(np.int64)
+    ordered <<= width
+    ordered |= second[place]
+    if 2 * width + room <= 63:
+        ordered <<= room
+        ordered |= place
+        ordered.sort()
+        place = ordered & ((1 << room) - 1)
+        ordered >>= room
+    else:
+        order = np.argsort(ordered)
+        place, ordered = place[order], ordered[order]
     begin = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]][: len(ordered)])
     counts = np.diff(np.r_[begin, len(place)])
     enough = counts >= least
-    held = np.repeat(enough, counts)
-    return ordered[begin[enough]], counts[enough], place[held], np.repeat(np.cumsum(enough) - 1, counts)[held]
+    place = place[np.repeat(enough, counts)]
+    good, counts = ordered[begin[enough]], counts[enough]
+    return ((good >> width) << 32) | (good & ((1 << width) - 1)), counts, place, np.repeat(np.arange(len(good)), counts)
 
 
 def _apart(n: int, place: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -65,10 +76,11 @@ def _apart(n: int, place: np.ndarray, weight: np.ndarray) -> np.ndarray:
     at[place + 1] = weight
     taken = np.zeros(n, dtype=bool)
     taken[place[(weight >= at[place]) & (weight >= at[place + 2])]] = True
-    chosen = np.flatnonzero(taken)
-    run = np.flatnonzero(np.r_[True, np.diff(chosen) != 1][: len(chosen)])
-    inside = chosen - np.repeat(chosen[run], np.diff(np.r_[run, len(chosen)]))
-    taken[chosen[inside % 2 == 1]] = False
+    # Places of a run behind its first.
+    later = np.flatnonzero(taken[1:] & taken[:-1]) + 1
+    run = np.flatnonzero(np.r_[True, np.diff(later) != 1][: len(later)])
+    inside = later - np.repeat(later[run], np.diff(np.r_[run, len(later)]))
+    taken[later[inside % 2 == 0]] = False
     return taken[place]
 
 
@@ -90,14 +102,11 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.nda
     # Places whose pair may be frequent, if not all; the last place has none.
     likely = None
     while len(sequence) >= 2 * LEAST_COUNT:
-        if likely is None:
-            pairs, slots, table = _pairs(sequence[:-1], sequence[1:])
-        else:
-            at = np.flatnonzero(likely[:-1])
-            pairs, slots, table = _pairs(sequence[at], sequence[at + 1])
+        first, second = (sequence[:-1], sequence[1:]) if likely is None else (sequence[likely], sequence[likely + 1])
+        slots, table = _slots(first, second)
         least = max(LEAST_COUNT, int(table.max() if least is None else least) // 4)
-        good, counts, place, which = _frequent(pairs, slots, table, least)
-        place = place if likely is None else at[place]
+        good, counts, place, which = _frequent(first, second, slots, table, least, len(sizes))
+        place = place if likely is None else likely[place]
         taken = _apart(len(sequence), place, counts[which])
         named = np.bincount(which[taken], minlength=len(good)) >= 2
         taken &= named[which]
@@ -119,13 +128,16 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.nda
         left[place + 1] = False
         sequence = sequence[left]
         if least == LEAST_COUNT:
-            fresh = np.zeros(len(sizes) + len(made), dtype=bool)
-            fresh[symbols] = True
-            put = fresh[sequence]
-            waiting = np.zeros(len(left), dtype=bool)
-            waiting[lost] = True
-            likely = waiting[left] | put
-            likely[:-1] |= put[1:]
+            put = sequence >= len(sizes)
+            if len(again):
+                old_again = np.zeros(len(sizes) + len(made), dtype=bool)
+                old_again[base + old] = True
+                put |= old_again[sequence]
+            put[:-1] |= put[1:]
+            # Lost places that are still there have moved by as many places as were taken out before them.
+            lost = lost[left[lost]]
+            put[lost - np.searchsorted(np.sort(place), lost)] = True
+            likely = np.flatnonzero(put[:-1])
         rules = np.concatenate([rules, made])
         sizes = np.concatenate([sizes, sizes[made].sum(axis=1)])
     return rules, sizes[base:], sequence.astype(np.int64)
@@ -138,7 +150,7 @@ def expand(rules, expansions, sequence, base: int, start: int = 0, stop: int | N
     total = int(ends[-1]) if len(ends) else 0
     stop = total if stop is None else min(stop, total)
     if start >= stop:
-        return np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.int32)
     first, last = np.searchsorted(ends, start, side="right"), np.searchsorted(ends, stop, side="left")
     symbols = sequence[first : last + 1]
     skipped = int(ends[first] - lengths[symbols[0]])
@@ -157,7 +169,7 @@ def _pool(rules: np.ndarray, lengths: np.ndarray, base: int, symbols: np.ndarray
     used = np.flatnonzero(needed)
     starts = np.zeros(len(lengths), dtype=np.int64)
     starts[used] = np.cumsum(lengths[used]) - lengths[used]
-    pool = np.zeros(int(lengths[used].sum()), dtype=np.int64)
+    pool = np.zeros(int(lengths[used].sum()), dtype=np.int32)
     plain = used[used < base]
     pool[starts[plain]] = plain
     made = used[used >= base]
@@ -184,14 +196,17 @@ def packed(values: np.ndarray) -> bytes:
 
 def unpacked(data: bytes, n: int) -> np.ndarray:
     """The ``n`` numbers of ``packed``."""
-    width, out, at = data[0], np.zeros(n, dtype=np.int64), 1
+    width = data[0]
+    # All blocks but the last end at a byte, so the bits stand side by side. A number may cross into the next word.
+    words = np.zeros(len(data) // 8 + 2, dtype="<u8")
+    words.view(np.uint8)[: len(data) - 1] = np.frombuffer(data, dtype=np.uint8, offset=1)
+    out = np.zeros(n, dtype=np.int64)
     for low in range(0, n, PACKED_AT_ONCE):
-        many = min(PACKED_AT_ONCE, n - low)
-        size = (many * width + 7) // 8
-        bits = np.zeros((many, 32), dtype=np.uint8)
-        bits[:, :width] = np.unpackbits(np.frombuffer(data, dtype=np.uint8, count=size, offset=at), count=many * width, bitorder="little").reshape(-1, width)
-        out[low : low + many] = np.packbits(bits, axis=1, bitorder="little").view("<u4")[:, 0]
-        at += size
+        bit = np.arange(low, min(n, low + PACKED_AT_ONCE)) * width
+        at, shift = bit >> 6, (bit & 63).astype(np.uint64)
+        # Where nothing is shifted, the next word is shifted out whole, which leaves 0.
+        value = (words[at] >> shift) | (words[at + 1] << (np.uint64(64) - shift))
+        out[low : low + len(bit)] = value & np.uint64((1 << width) - 1)
     return out
 
 
@@ -264,7 +279,7 @@ def read_documents(files: DataFrame) -> DataFrame:
     def read(batches):
         for batch in batches:
             for shard in batch.to_pylist():
-                ids = shard_ids(shard).astype("<u4")
+                ids = shard_ids(shard).astype("<u4", copy=False)
                 lengths = np.frombuffer(shard["lengths"], dtype=np.int64)
                 ends = np.cumsum(lengths)
                 known = np.frombuffer(shard["has_id"], dtype=np.uint8) == 0
@@ -273,7 +288,7 @@ def read_documents(files: DataFrame) -> DataFrame:
                         pa.array([shard["part"]] * len(lengths), pa.int32()),
                         pa.array(np.frombuffer(shard["doc_ids"], dtype=np.int64), mask=known),
                         pa.array(shard["start"] + ends - lengths), pa.array(lengths),
-                        binary([ids[e - n : e].tobytes() for e, n in zip(ends.tolist(), lengths.tolist())]),
+                        pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(np.r_[0, 4 * ends].astype(np.int32)), pa.py_buffer(ids)]),
                     ],
                     names=["part", "doc_id", "within", "n_tokens", "ids"],
                 )

@@ -14,13 +14,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidegauge.llm.common import binary, texts_of
+from tidegauge.llm.common import binary, lean, texts_of
 from tidegauge.llm.pieces import encoder, ranges
 from tidegauge.llm.textscan import AS_IS, SPACED_WORDS, BASE, batches_of, bytes_of, mix, span_hashes, word_spans
 
 ROLL = 16
 CHUNK_BYTES = 2048
-MOST_IDS = 4 << 20
+MOST_IDS = 2 << 20
+# A worker outlives its stage, and so does what it keeps; this is some 50 MB at most.
+MOST_PIECES = 1 << 20
+# Texts are encoded in blocks of about this many bytes; arrays of a block take some fifty times that.
+BLOCK_BYTES = 1 << 19
 
 
 def chunk_edges(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -42,7 +46,7 @@ class ChunkEncoder:
     """Keeps the ids of chunks, up to MOST_IDS of them, and starts again beyond."""
 
     def __init__(self, path: str):
-        self.pieces = encoder(path)
+        self.pieces = encoder(path, MOST_PIECES)
         self.chunks: dict[int, np.ndarray] = {}
         self.held = 0
 
@@ -128,7 +132,7 @@ class Decoder:
     """Ids back to text as the library's ``decode`` does, keeping special tokens."""
 
     def __init__(self, path: str):
-        self.tokenizer = encoder(path).tokenizer
+        self.tokenizer = encoder(path, MOST_PIECES).tokenizer
         self.joined = self.tokenizer.decoder is None
         size = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=-1) + 1
         self.tokens = [(self.tokenizer.id_to_token(i) or "").encode() for i in range(size)] if self.joined else []
@@ -161,7 +165,7 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
         chunks, decoder = coders(path)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            for low, high in batches_of(texts, 2 << 20):
+            for low, high in batches_of(texts, BLOCK_BYTES):
                 found, ends = chunks.encode(texts.slice(low, high - low))
                 rows = [found[s:e] for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
@@ -173,4 +177,4 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
                     names=["doc_id", "n_tokens", "ids", "decoded"],
                 )
 
-    return texts_of(docs).mapInArrow(code, "doc_id BIGINT, n_tokens BIGINT, ids BINARY, decoded STRING")
+    return texts_of(docs).mapInArrow(lean(code), "doc_id BIGINT, n_tokens BIGINT, ids BINARY, decoded STRING")

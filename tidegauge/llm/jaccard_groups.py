@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import binary, buckets, longs, slot_bitmap, stored, texts_of
+from tidegauge.llm.common import binary, buckets, lean, longs, slot_bitmap, stored, texts_of
 from tidegauge.llm.graph import components
 from tidegauge.llm.textscan import LOWER, SPACED_WORDS, batches_of, hash_words, whole_hash, window_hashes
 
@@ -116,7 +116,7 @@ def common_slots(docs: DataFrame, width: int) -> np.ndarray:
         return pa.table({"block": rows.column("block").slice(0, 1), "counts": binary([total.tobytes()])})
 
     schema = "block INT, counts BINARY"
-    summed = docs.select("text").mapInArrow(count, schema).groupBy("block").applyInArrow(add, schema).collect()
+    summed = docs.select("text").mapInArrow(lean(count), schema).groupBy("block").applyInArrow(add, schema).collect()
     total = np.zeros((COUNTERS // COUNTER_BLOCK, COUNTER_BLOCK), dtype=np.int64)
     for row in summed:
         total[row["block"]] = longs(row["counts"])
@@ -259,7 +259,7 @@ def grouped(docs: DataFrame, common: np.ndarray, width: int, percent: int, n_buc
                 schema=schema,
             )
 
-    return docs.mapInArrow(post, POSTED)
+    return docs.mapInArrow(lean(post), POSTED)
 
 
 def shared_lists(posted: DataFrame) -> DataFrame:
@@ -379,7 +379,7 @@ def pairs_across(met: DataFrame, percent: int) -> DataFrame:
         if size:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _summed(held)], names=["a", "b", "n", "least"])
 
-    pairs = dealt.select("n", "gid", "label", "low", "high", "parts", "part").mapInArrow(add, "a BIGINT, b BIGINT, n BIGINT, least BIGINT")
+    pairs = dealt.select("n", "gid", "label", "low", "high", "parts", "part").mapInArrow(lean(add), "a BIGINT, b BIGINT, n BIGINT, least BIGINT")
     return pairs.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("least").alias("least")).where("n >= least").select("a", "b")
 
 
@@ -405,7 +405,7 @@ def open_groups(docs: DataFrame, members: DataFrame, pairs: DataFrame, width: in
             kept = batch.filter(pa.array(bits[batch.column("slot").to_numpy(zero_copy_only=False)]))
             yield kept.select(["doc_id", "text"])
 
-    texts = chosen.where("doc_id IS NOT NULL").mapInArrow(keep, "doc_id BIGINT, text STRING")
+    texts = chosen.where("doc_id IS NOT NULL").mapInArrow(lean(keep), "doc_id BIGINT, text STRING")
     rows = texts.join(wanted, "doc_id").select("a", "block", "gid", "text")
 
     def compare(rows: pa.Table) -> pa.Table:

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import slot_bitmap, stored, texts_of
+from tidegauge.llm.common import lean, slot_bitmap, stored, texts_of
 from tidegauge.llm.license_scan import words_sql
 from tidegauge.llm.textscan import ALNUM_WORDS, LOWER, batches_of, hash_words, whole_hash, window_hashes
 
@@ -57,7 +57,7 @@ def item_windows(items: DataFrame, size: int = SIZE) -> DataFrame:
             )
 
     rows = items.select(F.col("item_id").cast("bigint"), F.col("text").cast("string"))
-    return rows.mapInArrow(cut, "item_id BIGINT, window BIGINT, terms ARRAY<BIGINT>").where("item_id IS NOT NULL")
+    return rows.mapInArrow(lean(cut), "item_id BIGINT, window BIGINT, terms ARRAY<BIGINT>").where("item_id IS NOT NULL")
 
 
 def term_counts(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
@@ -75,7 +75,7 @@ def term_counts(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["slot", "n"])
 
-    return docs.select("text").mapInArrow(count, "slot BIGINT, n BIGINT").groupBy("slot").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(lean(count), "slot BIGINT, n BIGINT").groupBy("slot").agg(F.sum("n").alias("n"))
 
 
 def by_rarity(windows: DataFrame, counts: DataFrame) -> DataFrame:
@@ -124,7 +124,7 @@ def index_postings(docs: DataFrame, anchors: np.ndarray, vocabulary: np.ndarray,
                     schema=schema,
                 )
 
-    return docs.mapInArrow(post, INDEX)
+    return docs.mapInArrow(lean(post), INDEX)
 
 
 def phrase_matches(postings: DataFrame, ranked: DataFrame) -> DataFrame:
@@ -167,7 +167,7 @@ def proximity_matches(docs: DataFrame, pairs: DataFrame, distance: int) -> DataF
                 sides.append(pa.array([int(words[s].view(np.int64)) if e == s + 1 else None for s, e in zip(first[:-1], first[1:])], pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), *sides], names=["pair_id", "left", "right"])
 
-    pairs = pairs.select(F.col("pair_id").cast("bigint"), "left", "right").mapInArrow(hashed, "pair_id BIGINT, left BIGINT, right BIGINT")
+    pairs = pairs.select(F.col("pair_id").cast("bigint"), "left", "right").mapInArrow(lean(hashed), "pair_id BIGINT, left BIGINT, right BIGINT")
     pairs = stored(pairs.where("left IS NOT NULL AND right IS NOT NULL"), "pairs")
     terms = slot_bitmap(pairs.select(F.explode(F.array("left", "right")).alias("term")).select(_slot("term")), SLOTS)
     index = stored(index_postings(docs, terms, terms, 0), "index")

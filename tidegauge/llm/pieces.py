@@ -113,7 +113,8 @@ def _behind(held: np.ndarray, n: int, more: np.ndarray) -> np.ndarray:
 
 
 class PieceEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int | None = None):
+        self.most = most
         self.tokenizer = load(path)
         self.token_bytes = self._token_bytes()
         self._forget()
@@ -174,7 +175,7 @@ class PieceEncoder:
         new = np.flatnonzero(piece < 0)
         if len(new):
             fresh, first, inverse = np.unique(keys[new], return_index=True, return_inverse=True)
-            if self.n and self.n + len(fresh) > MOST_PIECES:
+            if self.n and self.n + len(fresh) > (self.most or MOST_PIECES):
                 self._forget()
                 return self.encode(data, starts, ends)
             piece[new] = self.n + inverse
@@ -241,11 +242,11 @@ class PieceEncoder:
         return flat, np.diff(stops)
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[tuple[str, int | None], PieceEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
-    """The worker's encoder for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, most: int | None = None) -> PieceEncoder:
+    """The worker's encoder for a tokenizer file, which keeps ``most`` pieces (else MOST_PIECES)."""
+    if (path, most) not in _ENCODERS:
+        _ENCODERS[path, most] = PieceEncoder(path, most)
+    return _ENCODERS[path, most]
